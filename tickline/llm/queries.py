@@ -17,6 +17,18 @@ def op5_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_table(spark, sf_dir, "documents"), window=35).drop("kept_text")
 
 
+def op10_bwt_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickline.llm.suffix_dedup import dedup_bytes
+
+    return dedup_bytes(_table(spark, sf_dir, "documents"), length=50).drop("kept_bytes")
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickline.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 SQL: dict[str, str] = {}
 
 SQL["op5_rlz_substring_dedup"] = r"""

@@ -17,11 +17,13 @@ a few records for each task.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickline.llm.text import U, gram_hash, mix, owner, slide_min, span_hash
 
@@ -37,6 +39,25 @@ SETTLED = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("s", pa.int32())
 PACKED_DDL = "bucket int, kind tinyint, payload binary"
 SETTLED_DDL = "kind tinyint, key bigint, s int, e int, weight tinyint"
 RECORDS, COVERED, WANTED = 0, 1, 2
+#: Stands for a missing id.
+NO_ID = (1 << 63) - 1
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """key, doc and text. Equal rows share a key; rows with one id and two texts do not.
+
+    The id is the key where it is an integer and no two rows have the same one,
+    which a count finds out; else a hash of id and text is. Rows without an id
+    come after all others (doc).
+    """
+    integral = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    c = F.col(id_col)
+    if integral and docs.groupBy(c.alias("id")).count().where("count > 1 or id is null").isEmpty():
+        key = doc = c.cast("bigint")
+    else:
+        key = F.xxhash64(c, F.col(text_col))
+        doc = F.coalesce(c.cast("bigint"), F.lit(NO_ID)) if integral else key
+    return docs.select(key.alias("key"), doc.alias("doc"), F.col(text_col).alias("text"), c.alias("id"))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -102,15 +123,7 @@ def merged(x: np.ndarray) -> np.ndarray:
     return spans(x["key"][at], x["s"][at], reach[ends], x["weight"][at])
 
 
-def settle(r: np.ndarray, *, smaller: bool, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(records to send on, spans known as repeated, requests).
-
-    smaller: a window counts as repeated only if a document with a smaller id has
-    it; else if it starts anywhere else. last: no further records will be seen,
-    so nothing is sent on.
-    """
-    if not len(r):
-        return r, np.empty(0, SPAN), np.empty(0, SPAN)
+def _settle_shared(r: np.ndarray, *, smaller: bool, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     r = r[np.lexsort((r["s"], r["key"], r["doc"], r["rh"], r["m"]))]
     new_m = _starts(r["m"])
     new_c = new_m | _starts(r["rh"])
@@ -143,22 +156,90 @@ def settle(r: np.ndarray, *, smaller: bool, last: bool) -> tuple[np.ndarray, np.
     send = r[keep & ~wide].copy()
     send["flag"] = multi[keep & ~wide]
     crowded = r[m_at][crowd].copy()
-    crowded["rh"], crowded["flag"], crowded["key"], crowded["doc"], crowded["s"], crowded["n"] = 0, MIXED, 0, 0, 0, 0
+    crowded["rh"], crowded["flag"], crowded["s"], crowded["n"] = 0, MIXED, 0, 0
     return np.concatenate([send, crowded]), covered, wanted
 
 
-def _columns(x: np.ndarray) -> bytes:
-    """The array column by column, which compresses better."""
-    return b"".join(np.ascontiguousarray(x[name]).tobytes() for name in x.dtype.names)
+def settle(r: dict[str, np.ndarray], *, smaller: bool, last: bool) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """(records to send on, spans known as repeated, requests).
+
+    smaller: a window counts as repeated only if a document with a smaller id has
+    it; else if it starts anywhere else. last: no further records will be seen,
+    so nothing is sent on.
+    """
+    n = len(r["m"])
+    order = np.argsort(r["m"])
+    m = r["m"][order]
+    edge = np.ones(n + 1, dtype=bool)
+    edge[1:-1] = m[1:] != m[:-1]
+    alone = np.empty(n, dtype=bool)
+    alone[order] = edge[:-1] & edge[1:]
+    if not last:
+        alone &= r["flag"] == 0
+    else:
+        alone &= r["flag"] & SELF == 0
+    shared = np.empty(n - int(alone.sum()), dtype=RECORD)
+    for name in RECORD.names:
+        shared[name] = r[name][~alone]
+    if len(shared):
+        send, covered, wanted = _settle_shared(shared, smaller=smaller, last=last)
+    else:
+        send, covered, wanted = shared, np.empty(0, SPAN), np.empty(0, SPAN)
+    if last:
+        return {}, covered, wanted
+    return {name: np.concatenate([r[name][alone], send[name]]) for name in RECORD.names}, covered, wanted
+
+
+def _narrow(x: np.ndarray) -> tuple[int, bytes]:
+    """(bytes for each value, those bytes) of non-negative integers."""
+    top = int(x.max()) if len(x) else 0
+    width = max(1, (top.bit_length() + 7) // 8) if top else 0
+    return width, np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _widened(raw: np.ndarray, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :width] = raw[: n * width].reshape(n, width)
+    return out.view("<u8")[:, 0]
+
+
+#: Count, least document, and the bytes of m, rh, doc, key, s, n and flag in each record.
+HEAD = struct.Struct("<iq7B")
+#: Columns of the anchor and of the content that travel. With the bucket they are 80 bits and more.
+HASH_BYTES = 5
+
+
+def _encode(r: dict[str, np.ndarray]) -> bytes:
+    """Records column by column, each in as few bytes as its values need. The key is left out where it is the document."""
+    least = int(r["doc"].min())
+    columns = [_narrow(r["m"] & U((1 << 8 * HASH_BYTES) - 1)), _narrow(r["rh"] & U((1 << 8 * HASH_BYTES) - 1)), _narrow((r["doc"] - least).view(np.uint64))]
+    columns += [(0, b"") if np.array_equal(r["key"], r["doc"]) else (8, r["key"].tobytes())]
+    columns += [_narrow(r["s"]), _narrow(r["n"]), _narrow(r["flag"])]
+    return HEAD.pack(len(r["m"]), least, *(w for w, _ in columns)) + b"".join(x for _, x in columns)
+
+
+def _decode(raw: bytes) -> dict[str, np.ndarray]:
+    n, least, *widths = HEAD.unpack_from(raw)
+    data, at, out = np.frombuffer(raw, np.uint8), HEAD.size, {}
+    for name, width in zip(("m", "rh", "doc", "key", "s", "n", "flag"), widths, strict=True):
+        out[name] = _widened(data[at:], n, width).astype(RECORD[name])
+        at += n * width
+    out["doc"] += least
+    if not widths[3]:
+        out["key"] = out["doc"]
+    return out
+
+
+def _raw_spans(x: np.ndarray) -> bytes:
+    return b"".join(np.ascontiguousarray(x[name]).tobytes() for name in SPAN.names)
 
 
-def _from_columns(raw: bytes, dtype: np.dtype) -> np.ndarray:
-    out = np.empty(len(raw) // dtype.itemsize, dtype=dtype)
+def _read_spans(raw: bytes) -> np.ndarray:
+    out = np.empty(len(raw) // SPAN.itemsize, dtype=SPAN)
     at = 0
-    for name in dtype.names:
-        kind = dtype[name]
-        out[name] = np.frombuffer(raw, dtype=kind, count=len(out), offset=at)
-        at += kind.itemsize * len(out)
+    for name in SPAN.names:
+        out[name] = np.frombuffer(raw, dtype=SPAN[name], count=len(out), offset=at)
+        at += SPAN[name].itemsize * len(out)
     return out
 
 
@@ -167,31 +248,31 @@ class Sender:
 
     def __init__(self, buckets: int, *, smaller: bool) -> None:
         self.buckets, self.smaller = buckets, smaller
-        self.parts: list[np.ndarray] = []
+        self.parts: list[dict[str, np.ndarray]] = []
         self.held = 0
 
-    def add(self, m, rh, key, doc, s, n, flag=0) -> None:  # noqa: ANN001
-        x = np.empty(len(m), dtype=RECORD)
-        x["m"], x["rh"], x["key"], x["doc"], x["s"], x["n"], x["flag"] = m, rh, key, doc, s, n, flag
-        self.parts.append(x)
-        self.held += len(x)
+    def add(self, m: np.ndarray, rh: np.ndarray, key: np.ndarray, doc: np.ndarray, s: np.ndarray, n: np.ndarray | int, flag: np.ndarray | int = 0) -> None:
+        # the smallest hash of a window is small; spread it again, so that its high bits tell the bucket
+        x = {"m": mix(m), "rh": rh, "key": key, "doc": doc, "s": s, "n": n, "flag": flag}
+        self.parts.append({name: np.broadcast_to(np.asarray(v, RECORD[name]), len(m)) for name, v in x.items()})
+        self.held += len(m)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.parts:
+        if not self.held:
             return
-        send, covered, wanted = settle(np.concatenate(self.parts), smaller=self.smaller, last=False)
+        send, covered, wanted = settle({name: np.concatenate([p[name] for p in self.parts]) for name in RECORD.names}, smaller=self.smaller, last=False)
         self.parts, self.held = [], 0
         rows: list[tuple[int, int, bytes]] = []
-        bucket = (mix(send["m"]) % U(self.buckets)).astype(np.int64)
-        order = np.lexsort((send["s"], send["key"], bucket))
-        send, bucket = send[order], bucket[order]
-        edge = np.searchsorted(bucket, np.arange(self.buckets + 1))
+        bucket = ((send["m"] >> U(40)) % U(self.buckets)).astype(np.int32 if self.buckets > 65535 else np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        send = {name: v[order] for name, v in send.items()}
+        edge = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
         for b in np.flatnonzero(np.diff(edge)):
-            rows.append((int(b), RECORDS, _columns(send[edge[b] : edge[b + 1]])))
+            rows.append((int(b), RECORDS, _encode({name: v[edge[b] : edge[b + 1]] for name, v in send.items()})))
         for kind, x in ((COVERED, merged(covered)), (WANTED, wanted)):
             for i in range(0, len(x), 4096):
                 part = x[i : i + 4096]
-                rows.append((int(part["key"][0]) % self.buckets, kind, _columns(part)))
+                rows.append((int(part["key"][0]) % self.buckets, kind, _raw_spans(part)))
         for i in range(0, len(rows), 1024):
             b, k, p = zip(*rows[i : i + 1024], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int8()), pa.array(p, pa.binary())], schema=PACKED)
@@ -212,11 +293,12 @@ def exchange(sent: DataFrame, *, smaller: bool) -> DataFrame:
             for kind, payload in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 raw = payload.as_buffer()
                 if kind == RECORDS:
-                    records.append(_from_columns(raw, RECORD))
+                    records.append(_decode(raw))
                 else:
-                    yield from _settled(kind, _from_columns(raw, SPAN))
+                    yield from _settled(kind, _read_spans(raw))
         if records:
-            _, covered, wanted = settle(np.concatenate(records), smaller=smaller, last=True)
+            joined = {name: np.concatenate([x[name] for x in records]) for name in RECORD.names}
+            _, covered, wanted = settle(joined, smaller=smaller, last=True)
             yield from _settled(COVERED, merged(covered))
             yield from _settled(WANTED, wanted)
 

@@ -22,17 +22,13 @@ from pyspark.sql import functions as F
 
 from tickline.llm import repeats
 from tickline.llm.repeats import COVERED, HELD, MULTI, PACKED_DDL, WANTED, Sender
+from tickline.llm.shared import cut
 from tickline.llm.text import chunks, gram_hash, prefix_sums, word_hash, words
 
 #: Words of the k-grams that anchor a window of 35 words.
 ANCHOR_WORDS = 18
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key, doc and text: equal rows share a key, rows with one id and two texts do not."""
-    return docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-
-
 def _anchor(window: int) -> int:
     return min(ANCHOR_WORDS, (window + 1) // 2)
 
@@ -79,16 +75,13 @@ def _boundaries(buckets: int, window: int):  # noqa: ANN202
     return look_up
 
 
-def duplicate_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
-    """key, s, e: windows [s, e) of the document `key` (see `keyed`) that start elsewhere too."""
-    spark = docs.sparkSession
-    n = repeats.partitions(spark) * 4
-    texts = keyed(docs, id_col, text_col).select("key", "text")
-    first = repeats.exchange(texts.mapInArrow(_parse(n, window), PACKED_DDL), smaller=False).checkpoint()
+def duplicate_spans(texts: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
+    """key, s, e: windows [s, e) of the text `key` that start elsewhere too. dealt: the same texts, by key."""
+    n = repeats.partitions(texts.sparkSession) * 4
+    first = cut(repeats.exchange(texts.select("key", "text").mapInArrow(_parse(n, window), PACKED_DDL), smaller=False))
     asked = first.where(F.col("kind") == WANTED).groupBy("key").agg(F.collect_list(F.struct("s", "e", "weight")).alias("asked"))
-    dealt = texts.repartition(repeats.partitions(spark), "key")
-    with_text = dealt.join(asked.hint("shuffle_hash"), "key")
-    second = repeats.exchange(with_text.select("key", "text", "asked").mapInArrow(_boundaries(n, window), PACKED_DDL), smaller=False)
+    with_text = dealt.join(asked.hint("shuffle_hash"), "key").select("key", "text", "asked", "id")
+    second = repeats.exchange(with_text.mapInArrow(_boundaries(n, window), PACKED_DDL), smaller=False)
     return first.unionByName(second).where(F.col("kind") == COVERED).select("key", "s", "e")
 
 
@@ -115,7 +108,7 @@ def _remove(window: int):  # noqa: ANN202
                 kept_text.append(kept if gone else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept_text, pa.binary()).cast(pa.string())],
-                names=["doc", "n_words", "n_removed", "kept_sha256", "kept_text"],
+                names=["id", "n_words", "n_removed", "kept_sha256", "kept_text"],
             )
 
     return remove
@@ -131,10 +124,10 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     equal rows are copies of each other. Ids may be null. Other columns of
     `docs`, whatever their names, are not read.
     """
-    n = repeats.partitions(docs.sparkSession)
-    spans = duplicate_spans(docs, id_col=id_col, text_col=text_col, window=window)
+    texts = repeats.keyed(docs, id_col, text_col).select("key", "text", "id")
+    dealt = texts.repartition(repeats.partitions(docs.sparkSession), "key")
+    spans = duplicate_spans(texts, dealt, window)
     gathered = spans.groupBy("key").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e"))
-    texts = keyed(docs, id_col, text_col).repartition(n, "key").join(gathered.hint("shuffle_hash"), "key", "left")
     id_type = docs.schema[id_col].dataType.simpleString()
-    out = texts.select("doc", "text", "s", "e").mapInArrow(_remove(window), f"doc {id_type}, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")
-    return out.withColumnRenamed("doc", id_col)
+    out = dealt.join(gathered.hint("shuffle_hash"), "key", "left").select("id", "text", "s", "e").mapInArrow(_remove(window), f"id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")
+    return out.withColumnRenamed("id", id_col)
