@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickline.llm.components import components
-from tickline.llm.repeats import partitions
+from tickline.llm.repeats import NO_ID, keyed, partitions
 from tickline.llm.shared import cut
 from tickline.llm.text import U, chunks, gram_hash, mix, owner, prefix_sums, span_hash, word_hash, words
 
@@ -151,10 +151,10 @@ def _distinct(token: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return token, cls, many
 
 
-def _met(kind: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
-    out = [pa.array(np.full(n, kind, np.int8))]
+def _met(kind: int, rows: int, /, **columns: np.ndarray) -> pa.RecordBatch:
+    out = [pa.array(np.full(rows, kind, np.int8))]
     for name, t in (("class", pa.int64()), ("n", pa.int32()), ("hits", pa.int32()), ("key", pa.int64()), ("doc", pa.int64())):
-        out.append(pa.array(columns[name], t, from_pandas=False) if name in columns else pa.nulls(n, t))
+        out.append(pa.array(columns[name], t, from_pandas=False) if name in columns else pa.nulls(rows, t))
     return pa.RecordBatch.from_arrays(out, names=["kind", "class", "n", "hits", "key", "doc"])
 
 
@@ -274,7 +274,6 @@ def _pairs(lo: int, hi: int, percent: int):  # noqa: ANN202
         token, cls, n, root = token[order], cls[order], n[order].astype(np.int64), root[order]
         start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(start, len(token)))
-        found = set()
         held: list[np.ndarray] = []
         count = 0
         for rank in range(lo, min(hi, int(size.max()))):
@@ -287,7 +286,6 @@ def _pairs(lo: int, hi: int, percent: int):  # noqa: ANN202
             count += len(held[-1])
             if count > HELD:
                 held, count = [np.unique(np.concatenate(held), axis=0)], 0
-        del found
         if held:
             out = np.unique(np.concatenate(held), axis=0)
             for i in range(0, len(out), 65536):
@@ -367,8 +365,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     parts = partitions(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
-    none = (1 << 63) - 1
-    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(none)).alias("doc"), F.col(text_col).alias("text"))
+    rows = keyed(docs, id_col, text_col).select("key", "doc", "text")
     met = cut(rows.mapInArrow(_send_documents(parts * 4, size, percent), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL))
     every = met.where(F.col("kind") == CLASSES).select("key", "doc", "class", "n")
     classes = every.where("n > 0").groupBy("class").agg(F.min(F.struct("doc", "key")).alias("first"), F.first("n").alias("n")).select("class", "n", F.col("first.doc").alias("doc"), F.col("first.key").alias("key"))
@@ -383,5 +380,5 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     linked = roots.join(named, "root").select("class", "component_id")
     own = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "doc").alias("component_id"))
     out = every.join(own, "class", "left").select("doc", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
-    real = lambda c: F.when(F.col(c) != none, F.col(c)).cast(id_type)
+    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).cast(id_type)
     return out.select(real("doc").alias(id_col), "n_shingles", real("component_id").alias("component_id"))

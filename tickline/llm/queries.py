@@ -29,8 +29,40 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op8_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickline.llm.mixing import mix_sources
+
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 SQL: dict[str, str] = {}
 
+SQL["op8_curriculum_mixing"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+               CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS weight FROM d GROUP BY source),
+fill AS (
+  SELECT 0 AS step, source, source_size, weight, false AS capped FROM src
+  UNION ALL
+  SELECT step + 1, source, source_size, weight,
+         capped OR level * weight >= 3 * source_size
+  FROM (SELECT *, ((sum(source_size) OVER ()) - coalesce(sum(CASE WHEN capped THEN 3 * source_size END) OVER (), 0))
+                  / sum(CASE WHEN NOT capped THEN weight END) OVER () AS level FROM fill) WHERE step < 60),
+goal AS (
+  SELECT source, source_size, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE)
+         ELSE ((sum(source_size) OVER ()) - coalesce(sum(CASE WHEN capped THEN 3 * source_size END) OVER (), 0))
+              / sum(CASE WHEN NOT capped THEN weight END) OVER () * weight END AS target
+  FROM fill WHERE step = 60),
+walk AS (
+  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS w,
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), size
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_it
+  FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (w // source_size) * size + greatest(0, least(size, w % source_size - before_it)) END AS BIGINT) AS taken
+FROM walk
+"""
+
 SQL["op5_rlz_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i+34], ' ') AS t
