@@ -35,6 +35,12 @@ def op8_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickline.llm.quality import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 SQL: dict[str, str] = {}
 
 SQL["op8_curriculum_mixing"] = r"""
