@@ -60,6 +60,18 @@ def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op3_patience_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickline.llm.licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op6_seeded_alignment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickline.llm.decontaminate import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 SQL: dict[str, str] = {}
 
 SQL["op1_arc_to_warc"] = """
