@@ -153,13 +153,15 @@ def _search(items: Items, n: int, share: float):  # noqa: ANN202
             for lo, _, data, off in chunks(batch.column(1)):
                 h, edge = tokens(data, off)
                 doc, at, seed = _seed_hits(h, edge, grams, n)
+                if not len(doc):
+                    continue
                 size = last[seed] - first[seed]
                 which = np.repeat(np.arange(len(seed)), size)
                 item = items.item[np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + first[seed][which]]
                 doc, at, seed = doc[which], at[which], seed[which]
                 order = np.lexsort((at, item, doc))
                 doc, at, seed, item = doc[order], at[order], seed[order], item[order]
-                new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])) if len(doc) else []
+                new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])).tolist()
                 rows = []
                 for a, b in zip(new, [*new[1:], len(doc)], strict=True):
                     d, i = int(doc[a]), int(item[a])
