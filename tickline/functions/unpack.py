@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickline.functions.fixed import Kind
+from tickline.functions.fixed import HEADER_BYTES, KINDS, MAX_TEXT_BYTES, NULL_I32, NULL_I64, QUALITY, SH_SNAPSHOT, SH_TICK, SZ_SNAPSHOT, Kind
 
 SQL_TYPES = {"<i4": "int", "<i8": "bigint", "<u4": "bigint"}
 _ERRORS = np.array(["", "count_exceeded", "invalid_offset", "invalid_text"], dtype=object)
@@ -32,13 +32,15 @@ def _field(fixed: np.ndarray, at: int, kind: str) -> np.ndarray:
     return np.ascontiguousarray(fixed[:, at : at + size]).view(kind)[:, 0]
 
 
-def _text(raw: np.ndarray, off: np.ndarray, odd: np.ndarray, fixed: np.ndarray, at: int, floor: int, *, required: bool, longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(values, error codes, starts, ends) of a descriptor: u16 length, u32 offset from the descriptor."""
-    size = np.diff(off)
+def _text(raw: np.ndarray, off: np.ndarray, odd: np.ndarray, fixed: np.ndarray, at: int, floor: int, *, required: bool, longest: int, rows: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(values, error codes, starts, ends) of a descriptor: u16 length, u32 offset from the descriptor. rows: those that `fixed` has, if not all."""
+    size, base = np.diff(off), off[:-1]
+    if rows is not None:
+        size, base = size[rows], base[rows]
     length, offset = _field(fixed, at, "<u2").astype(np.int64), _field(fixed, at + 2, "<u4").astype(np.int64)
     start = offset + at
     outside = (offset < 6) | (start < floor) | (start + length > size)
-    a = np.where(outside, off[:-1], off[:-1] + start)
+    a = np.where(outside, base, base + start)
     strange = odd[np.where(outside, a, a + length)] > odd[a]
     error = np.select(
         [length > longest, (length == 0) & (offset != 0) & (start > size), (length == 0) & required, (length > 0) & outside, (length > 0) & strange], [1, 2, 3, 2, 3], 0
@@ -83,3 +85,163 @@ def unpacked(frames: DataFrame, kind: Kind, fields: Mapping[str, tuple[int, str]
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frames.select(*others).schema.fields)
     added = ", ".join([*(f"{name} {SQL_TYPES[t]}" for name, (_, t) in fields.items()), *(f"{name} string" for name in texts)])
     return frames.select(*others, "body").mapInArrow(unpack, f"{kept}, {added}, text_error string")
+
+
+# Header fields, name -> (offset, type).
+HEADER_FIELDS = {"head_size": (0, "<u1"), "message_size": (1, "<u4"), "encoding": (5, "<u1"), "service_id": (6, "<u1"), "service_version": (7, "<u2"), "message_id": (9, "<u2"), "vendor_local_time_raw": (11, "<u4"), "vendor_sequence": (15, "<u8")}
+HEADER_DDL = "head_size int, message_size bigint, encoding int, service_id int, service_version int, message_id int, vendor_local_time_raw bigint, vendor_sequence decimal(20,0), route_bad boolean, route_channel bigint"
+#: Descriptors of the texts that route a snapshot.
+ROUTE_TEXTS = {SH_SNAPSHOT: (4,), SZ_SNAPSHOT: (14, 20)}
+
+
+def _gather(raw: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    return raw[start[:, None] + np.arange(size)] if len(start) else np.empty((0, size), np.uint8)
+
+
+def scanned(frames: DataFrame) -> DataFrame:
+    """Adds the header's fields (null where it is too short), whether the fields that route the body are bad, and the channel of a tick."""
+    names = frames.columns
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frames.schema.fields)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            raw, off = _bodies(batch.column(names.index("header")).fill_null(b""))
+            whole = np.diff(off) >= HEADER_BYTES
+            fixed = np.zeros((n, HEADER_BYTES), np.uint8)
+            fixed[whole] = _gather(raw, off[:-1][whole], HEADER_BYTES)
+            got = {name: np.ascontiguousarray(fixed[:, at : at + int(t[-1])]).view(t)[:, 0] for name, (at, t) in HEADER_FIELDS.items()}
+            out = []
+            for name, v in got.items():
+                if name == "vendor_sequence":
+                    out.append(pa.array(v, pa.uint64(), mask=~whole).cast(pa.decimal128(20, 0)))
+                else:
+                    out.append(pa.array(v.astype(np.int64), mask=~whole).cast(pa.int64() if v.dtype == np.uint32 else pa.int32()))
+            raw, off = _bodies(batch.column(names.index("body")).fill_null(b""))
+            size, bad, channel, ticks = np.diff(off), np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, bool)
+            odd = np.concatenate([[0], np.cumsum((raw < 0x20) | (raw > 0x7E))])
+            for kind in KINDS:
+                own = np.flatnonzero(whole & (got["service_id"] == kind.key[0]) & (got["service_version"] == kind.key[1]) & (got["message_id"] == kind.key[2]) & (size >= kind.fixed))
+                if not len(own):
+                    continue
+                head = _gather(raw, off[own], kind.fixed)
+                if kind.tick:
+                    channel[own] = _field(head, 8, "<i4") if kind == SH_TICK else _field(head, 0, "<u4")
+                    ticks[own] = True
+                    if kind == SH_TICK:
+                        bad[own] = channel[own] <= 0
+                for at in ROUTE_TEXTS.get(kind, ()):
+                    _, error, _, _ = _text(raw, off, odd, head, at, kind.fixed, required=True, longest=MAX_TEXT_BYTES, rows=own)
+                    bad[own] |= error > 0
+            out += [pa.array(bad), pa.array(channel, mask=~ticks)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*names, *HEADER_FIELDS, "route_bad", "route_channel"])
+
+    return frames.mapInArrow(scan, f"{kept}, {HEADER_DDL}")
+
+
+LEVEL_BYTES = 28
+LEVELS_DDL = "array<struct<price:bigint,quantity:bigint,order_count:bigint>>"
+
+
+def _cross(row: np.ndarray, b: np.ndarray, e: np.ndarray, n: int) -> np.ndarray:
+    """Rows in which two of the ranges [b, e) that are not empty share a byte."""
+    some = e > b
+    row, b, e = row[some], b[some], e[some]
+    order = np.lexsort((b, row))
+    row, b, e = row[order], b[order], e[order]
+    hit = (row[1:] == row[:-1]) & (b[1:] < e[:-1])
+    out = np.zeros(n, bool)
+    out[row[1:][hit]] = True
+    return out
+
+
+def _listed(size: np.ndarray, at: np.ndarray, count: np.ndarray, offset: np.ndarray, item: int, floor: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, error code: 0, 1 count_exceeded, 2 invalid_offset) of lists whose descriptors stand at `at`."""
+    start = at + offset
+    error = np.select([count > most, (count == 0) & (offset != 0) & (start > size), (count > 0) & ((offset < 8) | (start < floor) | (start + count * item > size))], [1, 2, 2], 0)
+    return start, error
+
+
+def _expanded(start: np.ndarray, count: np.ndarray, item: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which list, place in the body) of every item."""
+    which = np.repeat(np.arange(len(count)), count)
+    first = np.cumsum(count) - count
+    return which, start[which] + (np.arange(len(which)) - first[which]) * item
+
+
+def with_books(frames: DataFrame, kind: Kind, fields: Mapping[str, tuple[int, str]], texts: Mapping[str, tuple[int, bool]], lists: Mapping[str, int], *, longest: int, depth: int, queue_limit: int, keep: int) -> DataFrame:
+    """Like `unpacked`, and for each list the first `keep` levels, its whole depth, and book_quality and book_error of all levels and queues."""
+    sh = kind == SH_SNAPSHOT
+    item, inner, null = (16, 8, NULL_I64) if sh else (8, 0, None)
+    price_at, price_type, shares_at = (4, "<i4", 8) if sh else (8, "<i8", 0)
+    price_null, most_price = (NULL_I32, 1 << 40) if sh else (NULL_I64, (1 << 63) - 1)
+    others = [c for c in frames.columns if c != "body"]
+
+    def shares_flags(v: np.ndarray) -> np.ndarray:
+        flags = np.where(v < 0, QUALITY["quantity"], 0)
+        return np.where(v == null, QUALITY["null_source"], flags) if null is not None else flags
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            raw, off = _bodies(batch.column(len(others)))
+            size = np.diff(off)
+            fixed = _gather(raw, off[:-1], kind.fixed)
+            odd = np.concatenate([[0], np.cumsum((raw < 0x20) | (raw > 0x7E))])
+            out = [pa.array(c.astype(np.int64) if c.dtype == np.uint32 else c) for c in (_field(fixed, at, t) for at, t in fields.values())]
+            error = np.full(n, None, dtype=object)
+            rows, begins, ends = [], [], []
+
+            def fault(where: np.ndarray, name: str, error: np.ndarray = error) -> None:
+                error[where & (error == None)] = name  # noqa: E711
+
+            for at, required in texts.values():
+                values, code, b, e = _text(raw, off, odd, fixed, at, kind.fixed, required=required, longest=longest)
+                out.append(values)
+                for i, name in enumerate(_ERRORS[1:], 1):
+                    fault(code == i, name)
+                rows.append(np.arange(n)), begins.append(b), ends.append(e)
+            quality = np.zeros(n, np.int64)
+            queued = np.zeros(n, np.int64)
+            for at in lists.values():
+                count, offset = _field(fixed, at, "<u4").astype(np.int64), _field(fixed, at + 4, "<u4").astype(np.int64)
+                start, code = _listed(size, np.full(n, at), count, offset, LEVEL_BYTES, kind.fixed, depth)
+                fault(code == 1, "count_exceeded"), fault(code == 2, "invalid_offset")
+                count = np.where(code == 0, count, 0)
+                rows.append(np.arange(n)), begins.append(start), ends.append(start + count * LEVEL_BYTES)
+                row, place = _expanded(start, count, LEVEL_BYTES)
+                level = _gather(raw, off[row] + place, LEVEL_BYTES)
+                price, shares, orders = _field(level, price_at, price_type).astype(np.int64), _field(level, shares_at, "<i8"), _field(level, 16, "<u4").astype(np.int64)
+                flags = np.where(price == price_null, QUALITY["null_source"], np.where(price <= 0, QUALITY["price"], 0)) | shares_flags(shares)
+                fault(_any(row, price > most_price, n), "fixed_point_overflow")
+                held, where = _field(level, 20, "<u4").astype(np.int64), _field(level, 24, "<u4").astype(np.int64)
+                qstart, code = _listed(size[row], place + 20, held, where, item, kind.fixed, queue_limit)
+                fault(_any(row, code == 1, n), "count_exceeded"), fault(_any(row, code == 2, n), "invalid_offset")
+                held = np.where(code == 0, held, 0)
+                fault(_any(row, held > orders, n), "count_mismatch")
+                queued += np.bincount(row, held, minlength=n).astype(np.int64)
+                rows.append(row), begins.append(qstart), ends.append(qstart + held * item)
+                which, spot = _expanded(qstart, held, item)
+                waiting = _field(_gather(raw, off[row[which]] + spot + inner, 8), 0, "<i8")
+                np.bitwise_or.at(flags, which, shares_flags(waiting))
+                np.bitwise_or.at(quality, row, flags)
+                rank = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+                near = rank < keep
+                edge = np.concatenate([[0], np.cumsum(np.minimum(count, keep))]).astype(np.int32)
+                struct = pa.StructArray.from_arrays([pa.array(price[near]), pa.array(shares[near]), pa.array(orders[near])], names=["price", "quantity", "order_count"])
+                out += [pa.ListArray.from_arrays(pa.array(edge), struct), pa.array(count)]
+            fault(queued > queue_limit, "count_exceeded")
+            fault(_cross(np.concatenate(rows), np.concatenate(begins), np.concatenate(ends), n), "range_overlap")
+            out += [pa.array(quality), pa.array(error.tolist(), pa.string())]
+            names = [x for name in lists for x in (name, f"{name}_depth")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *out], names=[*others, *fields, *texts, *names, "book_quality", "book_error"])
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frames.select(*others).schema.fields)
+    added = [*(f"{name} {SQL_TYPES[t]}" for name, (_, t) in fields.items()), *(f"{name} string" for name in texts), *(x for name in lists for x in (f"{name} {LEVELS_DDL}", f"{name}_depth bigint"))]
+    return frames.select(*others, "body").mapInArrow(unpack, f"{kept}, {', '.join(added)}, book_quality bigint, book_error string")
+
+
+def _any(row: np.ndarray, test: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, bool)
+    out[row[test]] = True
+    return out

@@ -7,28 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickline.functions import wire
-from tickline.functions.fixed import BINARY_ENCODING, HEADER_BYTES, KINDS, MAX_TEXT_BYTES, SH_SNAPSHOT, SH_TICK, SZ_SNAPSHOT, Kind
+from tickline.functions.fixed import BINARY_ENCODING, HEADER_BYTES, KINDS, Kind
+from tickline.functions.unpack import scanned
 from tickline.plans.config import EngineConfig
 
 
-def parse_header(frames: DataFrame) -> DataFrame:
-    """Adds the header's fields; null where the header is too short for them."""
-    h = F.hex("header")
-    return frames.withColumns(
-        {
-            "head_size": wire.unsigned(h, 0, 1).cast("int"),
-            "message_size": wire.unsigned(h, 1, 4),
-            "encoding": wire.unsigned(h, 5, 1).cast("int"),
-            "service_id": wire.unsigned(h, 6, 1).cast("int"),
-            "service_version": wire.unsigned(h, 7, 2).cast("int"),
-            "message_id": wire.unsigned(h, 9, 2).cast("int"),
-            "vendor_local_time_raw": wire.unsigned(h, 11, 4),
-            "vendor_sequence": wire.unsigned(h, 15, 8),
-        }
-    )
-
-
 def is_key(key: tuple[int, int, int]) -> Column:
     return (F.col("service_id") == key[0]) & (F.col("service_version") == key[1]) & (F.col("message_id") == key[2])
 
@@ -41,28 +24,9 @@ def kind_of() -> Column:
     return out
 
 
-def route_error(kind: Kind) -> Column:
-    """Why the fields that decide on the lane cannot be read."""
-    h, size = F.hex("body"), F.octet_length("body")
-    short = F.when(size < kind.fixed, "body_truncated")
-    if kind == SH_TICK:
-        bad = wire.i32(h, 8) <= 0
-    elif kind in (SH_SNAPSHOT, SZ_SNAPSHOT):
-        texts = [4] if kind == SH_SNAPSHOT else [14, 20]
-        bad = F.lit(False)
-        for at in texts:
-            bad = bad | wire.text(h, size, at, kind.fixed, required=True, longest=MAX_TEXT_BYTES).error.isNotNull()
-    else:
-        bad = F.lit(False)
-    return F.coalesce(short, F.when(bad, "route_invalid"))
-
-
-def route_key(frames: DataFrame) -> DataFrame:
-    """Adds route_key of accepted ticks: service and channel in one number, so that a channel stays on one lane."""
-    h = F.hex("body")
-    channel = F.when(F.col("kind") == SH_TICK.name, wire.unsigned(h, 8, 4)).otherwise(wire.unsigned(h, 0, 4))
-    tick = F.col("kind").isin([k.name for k in KINDS if k.tick])
-    return frames.withColumn("route_key", F.when(tick, F.shiftleft(F.col("service_id").cast("bigint"), 32) + channel))
+def route_key(admitted: DataFrame) -> DataFrame:
+    """Adds route_key of ticks: service and channel in one number, so that a channel stays on one lane."""
+    return admitted.withColumn("route_key", F.shiftleft(F.col("service_id").cast("bigint"), 32) + F.col("route_channel"))
 
 
 def admit(frames: DataFrame, config: EngineConfig | None = None) -> DataFrame:
@@ -72,7 +36,7 @@ def admit(frames: DataFrame, config: EngineConfig | None = None) -> DataFrame:
     are told apart by a filter on admission_result.
     """
     config = config or EngineConfig()
-    parsed = parse_header(frames).withColumn("kind", kind_of())
+    parsed = scanned(frames).withColumn("kind", kind_of())
     size = F.coalesce(F.octet_length("body"), F.lit(0))
     capacity = F.when(F.col("kind").isin([k.name for k in KINDS if k.tick]), config.maximum_tick_body_bytes).otherwise(config.maximum_snapshot_body_bytes)
     enabled = F.lit(False)
@@ -87,8 +51,10 @@ def admit(frames: DataFrame, config: EngineConfig | None = None) -> DataFrame:
         .when(~enabled, "disabled_message")
         .when(size > capacity, "body_too_large")
     )
+    fixed = F.lit(0)
     for kind in KINDS:
-        result = result.when((F.col("kind") == kind.name) & route_error(kind).isNotNull(), route_error(kind))
+        fixed = F.when(F.col("kind") == kind.name, kind.fixed).otherwise(fixed)
+    result = result.when(size < fixed, "body_truncated").when(F.col("route_bad"), "route_invalid")
     return parsed.withColumn("admission_result", result.otherwise("accepted"))
 
 

@@ -1,7 +1,7 @@
 """Decoding of the two snapshot families, with their order books.
 
-Levels and their nested queues are read with higher-order functions; every
-level is checked, the first ten of a side are kept.
+Levels and their nested queues are read batch by batch; every level is checked,
+the first ten of a side are kept.
 """
 
 from __future__ import annotations
@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 
 from tickline.functions import wire
 from tickline.functions.fixed import BOOK_DEPTH, NULL_I32, NULL_I64, QUALITY, SH_SNAPSHOT, SZ_SNAPSHOT, Kind
+from tickline.functions.unpack import with_books
 from tickline.operators.admit import accepted
 from tickline.operators.decode_tick import COMMON, _first, _flag, _join
 from tickline.plans.config import EngineConfig
 
-LEVEL_BYTES = 28
-
-
 def _price(raw: Column, scale: int, bits: int) -> tuple[Column, Column, Column]:
     """(struct, quality, overflow) of a price, which must be positive."""
     null = NULL_I32 if bits == 32 else NULL_I64
@@ -37,90 +35,51 @@ def _amount_of_shares(raw: Column, scale: int, nullable: bool) -> tuple[Column,
     return wire.quantity(raw, scale, nullable), bad
 
 
-def _levels(h: Column, size: Column, side: Column, kind: Kind, config: EngineConfig) -> Column:
-    """Array of struct(level, quality, overflow, queue) for every level of a side."""
-    sh = kind == SH_SNAPSHOT
-    item, inner, scale = (16, 8, 3) if sh else (8, 0, 0)
-
-    def level(i: Column) -> Column:
-        at = side.start + i * LEVEL_BYTES
-        price, q1, over = _price(wire.i32(h, at + 4) if sh else wire.i64(h, at + 8), 3 if sh else 6, 32 if sh else 64)
-        amount, q2 = _amount_of_shares(wire.i64(h, at + 8) if sh else wire.i64(h, at), scale, sh)
-        orders = wire.unsigned(h, at + 16, 4)
-        queue = wire.listing(h, size, at + 20, item, kind.fixed, config.maximum_queue_items)
-        body = F.struct(price.alias("price"), amount.alias("quantity"), orders.alias("order_count"))
-        return F.struct(body.alias("level"), q1.bitwiseOR(q2).alias("quality"), over.alias("overflow"), queue.alias("queue"))
-
-    def queued(x: Column) -> Column:
-        shares = wire.each(x.queue["count"], lambda j: wire.i64(h, x.queue.start + j * item + inner))
-        flags = F.transform(shares, lambda s: _amount_of_shares(s, scale, sh)[1])
-        bits = F.aggregate(flags, x.quality, lambda a, b: a.bitwiseOR(b))
-        return F.struct(x.level.alias("level"), bits.alias("quality"), x.overflow.alias("overflow"), x.queue.alias("queue"))
-
-    return F.transform(wire.each(side["count"], level), queued)
-
-
-def _book_error(bids: Column, asks: Column, texts: list[Column], sides: list[Column], config: EngineConfig) -> Column:
-    """First fault of the levels of both sides, and of the bytes that texts, sides and queues share."""
-    both = F.concat(bids, asks)
-    total = F.aggregate(both, F.lit(0).cast("bigint"), lambda a, x: a + x.queue["count"])
-    span = lambda x: F.struct(x.b.alias("b"), x.e.alias("e"))
-    ranges = F.concat(F.array(*(span(x) for x in texts + sides)), F.transform(both, lambda x: span(x.queue)))
-    return _first(
-        F.try_element_at(F.filter(F.transform(both, lambda x: x.queue.error), lambda e: e.isNotNull()), F.lit(1)),
-        F.when(F.exists(both, lambda x: x.queue["count"] > x.level.order_count), "count_mismatch"),
-        F.when(total > config.maximum_queue_items, "count_exceeded"),
-        F.when(F.exists(both, lambda x: x.overflow), "fixed_point_overflow"),
-        F.when(wire.overlap(ranges), "range_overlap"),
-    )
+def _book(side: str, sh: bool) -> Column:
+    """The kept levels of a side, with their values as structs."""
+
+    def level(x: Column) -> Column:
+        price = wire.decimal(x.price, 3 if sh else 6, 32 if sh else 64, x.price > 0)
+        return F.struct(price.alias("price"), wire.quantity(x.quantity, 3 if sh else 0, sh).alias("quantity"), x.order_count.alias("order_count"))
+
+    return F.transform(side, level)
 
 
 def _decode(admitted: DataFrame, kind: Kind, config: EngineConfig) -> DataFrame:
     sh = kind == SH_SNAPSHOT
-    h, size = F.col("h"), F.col("size")
-    read = lambda at, required: wire.text(h, size, at, kind.fixed, required=required, longest=config.maximum_text_bytes)
-    side = lambda at: wire.listing(h, size, at, LEVEL_BYTES, kind.fixed, config.maximum_depth_items)
     if sh:
-        texts = {"security": read(4, True), "status": read(38, False)}
-        lists = {"bid_list": side(228), "ask_list": side(236)}
+        texts = {"security": (4, True), "status": (38, False)}
+        lists = {"bids": 228, "asks": 236}
         prices = {"previous_close": (14, 3, 32), "open": (18, 3, 32), "high": (22, 3, 32), "low": (26, 3, 32), "last": (30, 3, 32), "close": (34, 3, 32), "weighted_average_bid": (72, 3, 32), "weighted_average_ask": (88, 3, 32)}
         shares = {"volume": 48, "total_bid_quantity": 64, "total_ask_quantity": 80}
-        extra = {"image_status": wire.i32(h, 10).cast("int"), "trade_count": wire.unsigned(h, 44, 4)}
-        turnover, scale = (56, 5), 3
+        fields = {"image_status": (10, "<i4"), "trade_count": (44, "<u4"), "turnover_raw": (56, "<i8")}
+        scale, paid_scale = 3, 5
     else:
-        texts = {"stream": read(8, True), "security": read(14, True), "source": read(20, True), "phase_code": read(26, True)}
-        lists = {"bid_list": side(208), "ask_list": side(216)}
+        texts = {"stream": (8, True), "security": (14, True), "source": (20, True), "phase_code": (26, True)}
+        lists = {"bids": 208, "asks": 216}
         prices = {"previous_close": (32, 4, 64), "last": (64, 6, 64), "open": (72, 6, 64), "high": (80, 6, 64), "low": (88, 6, 64), "weighted_average_ask": (152, 6, 64), "weighted_average_bid": (168, 6, 64)}
         shares = {"volume": 48, "total_ask_quantity": 144, "total_bid_quantity": 160}
-        extra = {"channel": wire.unsigned(h, 4, 4), "trade_count": wire.i64(h, 40)}
-        turnover, scale = (56, 4), 0
-    base = accepted(admitted, [kind]).select(*COMMON, F.hex("body").alias("h"), F.octet_length("body").alias("size"))
-    raw = {f"{n}_raw": wire.i32(h, at) if bits == 32 else wire.i64(h, at) for n, (at, _, bits) in prices.items()}
-    raw |= {f"{n}_raw": wire.i64(h, at) for n, at in shares.items()} | {"turnover_raw": wire.i64(h, turnover[0]), "time": wire.unsigned(h, 0, 4)}
-    df = base.select("*", *(c.alias(n) for n, c in (texts | lists | raw | extra).items()))
-    df = df.withColumns({"bid_levels": _levels(h, size, F.col("bid_list"), kind, config), "ask_levels": _levels(h, size, F.col("ask_list"), kind, config)})
+        fields = {"channel": (4, "<u4"), "trade_count": (40, "<i8"), "turnover_raw": (56, "<i8")}
+        scale, paid_scale = 0, 4
+    fields |= {"time": (0, "<u4")} | {f"{n}_raw": (at, f"<i{bits // 8}") for n, (at, _, bits) in prices.items()} | {f"{n}_raw": (at, "<i8") for n, at in shares.items()}
+    base = accepted(admitted, [kind]).select(*COMMON, "body")
+    df = with_books(base, kind, fields, texts, lists, longest=config.maximum_text_bytes, depth=config.maximum_depth_items, queue_limit=config.maximum_queue_items, keep=BOOK_DEPTH)
     priced = {n: _price(F.col(f"{n}_raw"), s, bits) for n, (_, s, bits) in prices.items()}
     shared = {n: _amount_of_shares(F.col(f"{n}_raw"), scale, sh) for n in shares}
-    paid = _amount(F.col("turnover_raw"), turnover[1])
-    local, exchange = F.col("vendor_local_time_raw"), F.col("time")
-    bids, asks = F.col("bid_levels"), F.col("ask_levels")
-    level_bits = F.aggregate(F.concat(bids, asks), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x.quality))
-    count = F.col("trade_count")
+    paid = _amount(F.col("turnover_raw"), paid_scale)
+    local, exchange, count = F.col("vendor_local_time_raw"), F.col("time"), F.col("trade_count")
     quality = _join(
-        *(q for _, q, _ in priced.values()), *(q for _, q in shared.values()), paid[1], level_bits,
-        _flag((F.col("bid_list.count") > BOOK_DEPTH) | (F.col("ask_list.count") > BOOK_DEPTH), QUALITY["depth_truncated"]),
+        *(q for _, q, _ in priced.values()), *(q for _, q in shared.values()), paid[1], F.col("book_quality"),
+        _flag((F.col("bids_depth") > BOOK_DEPTH) | (F.col("asks_depth") > BOOK_DEPTH), QUALITY["depth_truncated"]),
         _flag(count < 0, QUALITY["quantity"]),
         wire.time_flags(local, QUALITY["null_source"], QUALITY["time"]), wire.time_flags(exchange, QUALITY["null_source"], QUALITY["time"]),
     )
     over = paid[2]
     for _, _, o in priced.values():
         over = over | o
-    error = _first(
-        *(F.col(f"{n}.error") for n in texts), F.when(over, "fixed_point_overflow"), *(F.col(f"{n}.error") for n in lists),
-        _book_error(bids, asks, [F.col(n) for n in texts], [F.col(n) for n in lists], config),
-    )
+    error = _first(F.when(over, "fixed_point_overflow"), F.col("book_error"))
     absent = wire.decimal(F.lit(NULL_I64), 6, 64, F.lit(False))
-    value = lambda n: F.col(f"{n}.value") if n in texts else F.lit("")
+    value = lambda n: F.col(n) if n in texts else F.lit("")
     return df.select(
         *COMMON[:4],
         wire.time_ns(local).alias("vendor_local_time_ns"),
@@ -143,10 +102,10 @@ def _decode(admitted: DataFrame, kind: Kind, config: EngineConfig) -> DataFrame:
         F.lit(sh).alias("image_status_valid"),
         value("status").alias("instrument_status_code"),
         value("phase_code").alias("trading_phase_code"),
-        F.col("bid_list.count").alias("source_bid_depth"),
-        F.col("ask_list.count").alias("source_ask_depth"),
-        F.transform(F.slice(bids, 1, BOOK_DEPTH), lambda x: x.level).alias("bids"),
-        F.transform(F.slice(asks, 1, BOOK_DEPTH), lambda x: x.level).alias("asks"),
+        F.col("bids_depth").alias("source_bid_depth"),
+        F.col("asks_depth").alias("source_ask_depth"),
+        _book("bids", sh).alias("bids"),
+        _book("asks", sh).alias("asks"),
         quality.alias("quality"),
         error.alias("decode_error"),
     )
