@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 
 from tickline.llm.components import components
 from tickline.llm.repeats import NO_ID, keyed, partitions
-from tickline.llm.shared import cut
+from tickline.llm.shared import cut, stored
 from tickline.llm.text import U, chunks, gram_hash, mix, owner, prefix_sums, span_hash, word_hash, words
 
 #: Salts of the global orders; order i sorts shingles by mix(shingle ^ salt).
 ORDERS = (0x2545F4914F6CDD1D, 0x9E6C63D0676A9A99, 0xD1342543DE82EF95)
 #: Records that a task holds before it sends them.
 HELD = 1 << 20
+#: Bits of the map that keeps documents without links out of the exchange of sets: 1 MB, whatever the input.
+MARKS = 1 << 23
 TOKENS, HITS, CLASSES = 0, 1, 2
 MEET_DDL = "bucket int, kind tinyint, payload binary"
 MET_DDL = "kind tinyint, class bigint, n int, hits int, key bigint, doc bigint"
@@ -235,19 +237,31 @@ def _send_sets(buckets: int, salt: int, percent: int):  # noqa: ANN202
     return send
 
 
-def _pack_sets(size: int):  # noqa: ANN202
+def _pack_sets(size: int, marks: np.ndarray):  # noqa: ANN202
+    """Sets of the documents whose bit is marked."""
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in chunks(batch.column(1)):
+            bit = batch.column(3).to_numpy()
+            batch = batch.filter(pa.array((marks[bit >> 6] >> (bit & 63)) & 1 == 1))
+            for lo, hi, data, off in chunks(batch.column(2)):
                 d, g = shingle_sets(data, off, size)
                 edge = _grouped(d, hi - lo)
                 raw = g.tobytes()
                 blobs = [raw[8 * a : 8 * b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary()), pa.array(np.diff(edge).astype(np.int32)), batch.column(2).slice(lo, hi - lo)], names=["class", "shingles", "n", "doc"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(set_class(g, edge)), pa.array(blobs, pa.binary()), pa.array(np.diff(edge).astype(np.int32))], names=["key", "doc", "class", "shingles", "n"])
 
     return pack
 
 
+def _marks(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that has the bit of every key, and of some others."""
+    words = keys.select(F.pmod(F.xxhash64("key"), F.lit(MARKS)).alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, int(bit & 63))").alias("value")).groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    marks = np.zeros(MARKS >> 6, dtype=np.int64)
+    marks[words["word"].to_numpy()] = words["value"].to_numpy()
+    return marks
+
+
 def _bucket_rows(percent: int):  # noqa: ANN202
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,11 +339,11 @@ def _passing(met: DataFrame, percent: int, sizes: DataFrame) -> DataFrame:
     return sizes.join(hits, "class").where(F.col("hits") >= F.least(a, 1 + F.floor(a / 10))).drop("hits")
 
 
-def link_classes(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes that connect all linked ones; sets: class, shingles, n, doc."""
+def link_classes(sets: DataFrame, passing: DataFrame, percent: int) -> DataFrame:
+    """(class, root) of all classes with links. sets: class, shingles, n, doc; passing: the classes that may have links."""
     spark = sets.sparkSession
     parts = partitions(spark)
-    buckets = sets.mapInArrow(_bucket_rows(percent), "token bigint, class bigint, n int, doc bigint")
+    buckets = sets.mapInArrow(_bucket_rows(percent), "token bigint, class bigint, n int, doc bigint").join(passing, "class")
     crowds = buckets.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
     members = cut(buckets.join(crowds, "token"))
     shingles = sets.select("class", "shingles")
@@ -343,7 +357,8 @@ def link_classes(sets: DataFrame, percent: int) -> DataFrame:
         rooted = cut(rooted)
         if rooted.isEmpty():
             break
-        pairs = rooted.repartition(parts, "token").mapInArrow(_pairs(lo, hi, percent), PAIR_DDL).distinct()
+        # a written table tells the planner its size: few pairs need no shuffle of the sets
+        pairs = stored(rooted.repartition(parts, "token").mapInArrow(_pairs(lo, hi, percent), PAIR_DDL).distinct(), "pairs")
         both = pairs.join(shingles.withColumnsRenamed({"class": "a", "shingles": "x"}), "a").join(shingles.withColumnsRenamed({"class": "b", "shingles": "y"}), "b").select("a", "b", "x", "y")
         found = both.mapInArrow(_verify(percent), PAIR_DDL)
         links = cut(found if links is None else links.unionByName(found))
@@ -369,13 +384,15 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     met = cut(rows.mapInArrow(_send_documents(parts * 4, size, percent), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL))
     every = met.where(F.col("kind") == CLASSES).select("key", "doc", "class", "n")
     classes = every.where("n > 0").groupBy("class").agg(F.min(F.struct("doc", "key")).alias("first"), F.first("n").alias("n")).select("class", "n", F.col("first.doc").alias("doc"), F.col("first.key").alias("key"))
-    passing = _passing(met, percent, classes).select("key", "class", "doc").hint("shuffle_hash")
-    with_text = rows.select("key", "text").repartition(parts, "key").join(passing, "key").select("class", "text", "doc")
-    sets = cut(with_text.mapInArrow(_pack_sets(size), "class bigint, shingles binary, n int, doc bigint").dropDuplicates(["class"]))
+    passing = cut(_passing(met, percent, classes).select("key", "class"))
+    marked = rows.withColumn("bit", F.pmod(F.xxhash64("key"), F.lit(MARKS)))
+    near = marked.mapInArrow(_pack_sets(size, _marks(passing)), "key bigint, doc bigint, class bigint, shingles binary, n int")
+    sets = cut(near.join(passing, ["key", "class"], "left_semi").select("class", "shingles", "n", "doc"))
+    sizes = sets.select("class", "n", "doc").distinct()
     for salt in ORDERS[1:]:
         again = sets.select("class", "shingles").mapInArrow(_send_sets(parts * 4, salt, percent), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL)
-        sets = cut(sets.join(_passing(again, percent, sets.select("class", "n")).select("class"), "class", "left_semi"))
-    roots = link_classes(sets, percent)
+        sizes = _passing(again, percent, sizes)
+    roots = link_classes(sets, sizes.select("class"), percent)
     named = roots.join(classes.select("class", "doc"), "class").groupBy("root").agg(F.min("doc").alias("component_id"))
     linked = roots.join(named, "root").select("class", "component_id")
     own = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "doc").alias("component_id"))

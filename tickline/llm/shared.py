@@ -25,3 +25,10 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared folder; the plan starts anew from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once as a table in the shared folder, whose size the planner knows."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
