@@ -6,9 +6,12 @@ first n - a + e ones, where a is the least overlap that a link needs and e grows
 with n. Two linked sets then share at least e(the smaller) prefix shingles, so a
 class whose prefix meets other prefixes in fewer places has no link. That test
 runs under several orders, each over the classes that passed the one before, so
-what stays is the intersection of the filters. Only then are pairs formed, from
-classes that share a shingle of the shortest sufficient prefix; a pair must also
-pass the prefix test under every order before its sets are intersected.
+what stays is the intersection of the filters. The last order puts rare shingles
+first, by a table of frequencies of fixed size: there, texts that only have
+frequent passages in common meet in no prefix. Only then are pairs formed, from
+classes that share a shingle of the shortest sufficient prefix under that order;
+a pair must also pass the prefix test under the others before its sets are
+intersected.
 
 Pairs are formed in rounds. In a round, the first members of each bucket that
 have not been centres yet are compared with the bucket's other members, except
@@ -19,10 +22,12 @@ components is still found.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +42,9 @@ ORDERS = (0x2545F4914F6CDD1D, 0x9E6C63D0676A9A99, 0xD1342543DE82EF95)
 HELD = 1 << 20
 #: Bits of the map that keeps documents without links out of the exchange of sets: 1 MB, whatever the input.
 MARKS = 1 << 23
+#: Slots of the table of shingle frequencies (4 MB), and the pieces in which it is added up.
+SKETCH = 1 << 22
+PIECES = 64
 TOKENS, HITS, CLASSES = 0, 1, 2
 MEET_DDL = "bucket int, kind tinyint, payload binary"
 MET_DDL = "kind tinyint, class bigint, n int, hits int, key bigint, doc bigint"
@@ -262,12 +270,74 @@ def _marks(keys: DataFrame) -> np.ndarray:
     return marks
 
 
-def _bucket_rows(percent: int):  # noqa: ANN202
+def _send_counts(width: int):  # noqa: ANN202
+    """How many sets of a task have each shingle, in a table of fixed width, piece by piece."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, dtype=np.uint32)
+        for batch in batches:
+            g, _, _ = _sets(batch.column(0))
+            np.add.at(total, (mix(g) & U(width - 1)).astype(np.int64), 1)
+        raw = np.minimum(total, 255).astype(np.uint8).reshape(PIECES, -1)
+        pieces = [i for i in range(PIECES) if raw[i].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), pa.array([zlib.compress(raw[i].tobytes(), 1) for i in pieces], pa.binary())], names=["piece", "counts"])
+
+    return send
+
+
+def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x = np.frombuffer(zlib.decompress(raw), np.uint8)
+            total[piece] = np.minimum(total.get(piece, np.zeros(len(x), np.uint16)) + x, 255).astype(np.uint16)
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(x.astype(np.uint8).tobytes(), 1) for x in total.values()], pa.binary())], names=["piece", "counts"])
+
+
+def frequency_sketch(sets: DataFrame) -> np.ndarray:
+    """For each slot of a shingle, about how many sets have one of its shingles, at most 255.
+
+    The table's width is fixed, so its size is bounded. Any values make a global
+    order; better ones only make rare shingles come first more often.
+    """
+    counted = sets.select("shingles").mapInArrow(_send_counts(SKETCH), "piece int, counts binary").repartition(PIECES, "piece").mapInArrow(_add_counts, "piece int, counts binary").toArrow()
+    out = np.zeros((PIECES, SKETCH // PIECES), dtype=np.uint8)
+    for piece, raw in zip(counted["piece"].to_pylist(), counted["counts"].to_pylist(), strict=True):
+        out[piece] = np.frombuffer(zlib.decompress(raw), np.uint8)
+    return out.ravel()
+
+
+def rare_first(g: np.ndarray, d: np.ndarray, edge: np.ndarray, sketch: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like `prefixes`, under the order by frequency and then by hash."""
+    key = mix(g)
+    level = sketch[(key & U(len(sketch) - 1)).astype(np.int64)].astype(U)
+    order = np.lexsort((key, level, d))
+    rank = np.arange(len(d)) - edge[d]
+    take = rank < length[d]
+    return key[order][take], d[take]
+
+
+def _send_rare(buckets: int, percent: int, sketch: Broadcast):  # noqa: ANN202
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Meeting(buckets)
+        for batch in batches:
+            g, d, edge = _sets(batch.column(1))
+            token, row = rare_first(g, d, edge, sketch.value, prefix_length(np.diff(edge), percent))
+            out.add(token, batch.column(0).to_numpy()[row])
+            if out.held > HELD:
+                yield from out.flush()
+        yield from out.flush()
+
+    return send
+
+
+def _bucket_rows(percent: int, sketch: Broadcast):  # noqa: ANN202
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             g, d, edge = _sets(batch.column(1))
             n = np.diff(edge)
-            token, row = prefixes(g, d, edge, ORDERS[0], n - overlap_needed(n, percent) + 1)
+            token, row = rare_first(g, d, edge, sketch.value, n - overlap_needed(n, percent) + 1)
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(2).take(pa.array(row)), batch.column(3).take(pa.array(row))], names=["token", "class", "n", "doc"])
 
     return rows
@@ -339,11 +409,11 @@ def _passing(met: DataFrame, percent: int, sizes: DataFrame) -> DataFrame:
     return sizes.join(hits, "class").where(F.col("hits") >= F.least(a, 1 + F.floor(a / 10))).drop("hits")
 
 
-def link_classes(sets: DataFrame, passing: DataFrame, percent: int) -> DataFrame:
+def link_classes(sets: DataFrame, passing: DataFrame, percent: int, sketch: Broadcast) -> DataFrame:
     """(class, root) of all classes with links. sets: class, shingles, n, doc; passing: the classes that may have links."""
     spark = sets.sparkSession
     parts = partitions(spark)
-    buckets = sets.mapInArrow(_bucket_rows(percent), "token bigint, class bigint, n int, doc bigint").join(passing, "class")
+    buckets = sets.mapInArrow(_bucket_rows(percent, sketch), "token bigint, class bigint, n int, doc bigint").join(passing, "class")
     crowds = buckets.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
     members = cut(buckets.join(crowds, "token"))
     shingles = sets.select("class", "shingles")
@@ -392,7 +462,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     for salt in ORDERS[1:]:
         again = sets.select("class", "shingles").mapInArrow(_send_sets(parts * 4, salt, percent), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL)
         sizes = _passing(again, percent, sizes)
-    roots = link_classes(sets, sizes.select("class"), percent)
+    sketch = spark.sparkContext.broadcast(frequency_sketch(sets))
+    again = sets.select("class", "shingles").mapInArrow(_send_rare(parts * 4, percent, sketch), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL)
+    sizes = cut(_passing(again, percent, sizes))
+    roots = link_classes(sets, sizes.select("class"), percent, sketch)
     named = roots.join(classes.select("class", "doc"), "class").groupBy("root").agg(F.min("doc").alias("component_id"))
     linked = roots.join(named, "root").select("class", "component_id")
     own = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "doc").alias("component_id"))
