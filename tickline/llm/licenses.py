@@ -3,8 +3,10 @@
 Stretches of a document with words of license notices are aligned with each
 template: words that occur once in both are anchors; the longest increasing
 subsequence of their places is kept; the gaps between kept anchors are aligned
-in the same way, where more words become unique. The share of the template's
-words that are aligned is its coverage.
+in the same way, where more words become unique. The share of aligned words in
+the template, or in the stretch from the first to the last of them if that is
+longer, is the coverage: a notice does not cover another one that it contains
+with words in between.
 """
 
 from __future__ import annotations
@@ -108,7 +110,10 @@ def _scan(names: list[str], templates: list[list[int]], keys: list[int], least:
                         for k, template in enumerate(templates):
                             for first, last in _tight(text, place, template):
                                 pairs = patience(template, text[first:last])
-                                score = len(pairs) / len(template)
+                                if not pairs:
+                                    continue
+                                stretch = int(place[first + pairs[-1][1]] - place[first + pairs[0][1]]) + 1
+                                score = len(pairs) / max(len(template), stretch)
                                 if score >= least and score > best.get(k, (0.0,))[0]:
                                     best[k] = (score, int(place[first + pairs[0][1]]) - a, int(place[first + pairs[-1][1]]) + 1 - a)
                     rows += [(lo + d, names[k], *found) for k, found in best.items()]
