@@ -194,7 +194,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     id_type = docs.schema[id_col].dataType.simpleString()
     stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold("id") != 0))
-    sample = stats.join(marks, "id").withColumn("turn", F.xxhash64("id", F.lit(7))).orderBy("turn", "y").limit(fit_rows).select(*STATS, "y")
+    # a share of the hash range that holds little more than the sample, so that no task sends the driver rows in vain
+    share = min(1.0, 1.2 * fit_rows / max(1, marks.count()))
+    turn = F.xxhash64("id", F.lit(7))
+    early = marks.withColumn("turn", turn).where(F.col("turn") <= min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+    sample = stats.join(early, "id").orderBy("turn", "y").limit(fit_rows).select(*STATS, "y")
     rows = sample.toPandas()
     model = fit(rows[list(STATS)].to_numpy(float), rows["y"].to_numpy(float), STATS)
     out = stats.select(F.col("id").alias(id_col), (fold("id") == 0).alias("held_out"), model.score().alias("score"))
