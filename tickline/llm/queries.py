@@ -140,6 +140,34 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+SQL["op4_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (
+  SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 2)), lambda i: array_to_string(w[i:i+3], ' '))) AS sh FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (sh) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.c)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM reach r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+SQL["op10_bwt_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS t FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+least_id AS (SELECT t, min(doc_id) AS m FROM win GROUP BY t HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, i FROM win JOIN least_id USING (t) WHERE doc_id > m),
+runs AS (SELECT *, sum(CASE WHEN i <= coalesce(prev, -1000) + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS prev FROM hit)),
+spans AS (SELECT doc_id, run, min(i) AS b, max(i) + 50 AS e FROM runs GROUP BY ALL),
+gaps AS (SELECT doc_id, coalesce(lag(e) OVER w, 0) AS b, b AS e FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY run)),
+pieces AS (SELECT doc_id, b, substr(h, 2 * b + 1, 2 * (e - b)) AS x FROM gaps JOIN d USING (doc_id)
+           UNION ALL SELECT doc_id, z.e, substr(h, 2 * z.e + 1) FROM (SELECT doc_id, max(e) AS e FROM spans GROUP BY doc_id) z JOIN d USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(x, '' ORDER BY b) AS x FROM pieces GROUP BY doc_id),
+total AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST((len(h) - len(coalesce(x, h))) // 2 AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(x, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
