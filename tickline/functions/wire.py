@@ -1,46 +1,12 @@
-"""Column expressions that read little-endian wire layouts.
-
-A body is read through the hex form of its bytes, so that every field is a
-substring: no Python runs for a message. Suits headers, lists and single fields.
-"""
+"""Rules for single wire values, as Column expressions: times, fixed-point numbers, quantities."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tickline.functions.fixed import NULL_I32, NULL_I64, NULL_TIME
 
-At = int | Column
-
-
-def _hex_slice(h: Column, at: At, size: At) -> Column:
-    start = F.lit(2 * at + 1) if isinstance(at, int) else at * 2 + 1
-    return F.substring(h, start, F.lit(2 * size) if isinstance(size, int) else size * 2)
-
-
-def _big_endian(h: Column, at: At, size: int) -> Column:
-    return F.concat(*(_hex_slice(h, at + i, 1) for i in reversed(range(size))))
-
-
-def unsigned(h: Column, at: At, size: int) -> Column:
-    """Unsigned integer of 1, 2, 4 or 8 bytes; a decimal(20,0) for 8, else a bigint. Null beyond the end."""
-    value = F.conv(_big_endian(h, at, size), 16, 10)
-    whole = F.length(_hex_slice(h, at, size)) == 2 * size
-    return F.when(whole, value.cast("decimal(20,0)" if size == 8 else "bigint"))
-
-
-def i64(h: Column, at: At) -> Column:
-    return F.when(F.length(_hex_slice(h, at, 8)) == 16, F.conv(_big_endian(h, at, 8), 16, -10).cast("bigint"))
-
-
-def i32(h: Column, at: At) -> Column:
-    u = unsigned(h, at, 4)
-    return F.when(u >= 1 << 31, u - (1 << 32)).otherwise(u)
-
-
 def time_ns(raw: Column) -> Column:
     """Nanoseconds from midnight of a time hhmmssmmm; null if it is none."""
     h, m, s, ms = (F.floor(raw / 10_000_000), F.floor(raw / 100_000) % 100, F.floor(raw / 1000) % 100, raw % 1000)
@@ -77,58 +43,3 @@ def quantity(raw: Column, scale: int, nullable: bool, published: Column | None =
     if published is not None:
         good = good & published
     return F.struct(raw.alias("raw"), F.lit(scale).cast("tinyint").alias("scale"), good.alias("valid"))
-
-
-def text(h: Column, size: Column, at: At, fixed: int, *, required: bool, longest: int) -> Column:
-    """struct(value, error, b, e) of a text descriptor: u16 length, u32 offset from the descriptor."""
-    length, offset = unsigned(h, at, 2), unsigned(h, at + 2, 4)
-    start = offset + at
-    raw = _hex_slice(h, start, length)
-    printable = raw.rlike("^(?:[2-6][0-9A-F]|7[0-9A-E])*$")
-    empty = F.when((offset != 0) & (start > size), "invalid_offset")
-    if required:
-        empty = F.coalesce(empty, F.lit("invalid_text"))
-    error = (
-        F.when(length.isNull() | offset.isNull(), "truncated")
-        .when(length > longest, "count_exceeded")
-        .when(length == 0, empty)
-        .when((offset < 6) | (start < fixed) | (start + length > size), "invalid_offset")
-        .when(~printable, "invalid_text")
-    )
-    value = F.when(error.isNull(), F.when(length == 0, "").otherwise(F.decode(F.unhex(raw), "US-ASCII")))
-    return F.struct(value.alias("value"), error.alias("error"), F.coalesce(start, F.lit(0)).cast("bigint").alias("b"), F.when(error.isNull(), start + length).otherwise(start).cast("bigint").alias("e"))
-
-
-def listing(h: Column, size: Column, at: At, item: int, fixed: int, most: int) -> Column:
-    """struct(start, count, error, b, e) of a list descriptor: u32 count, u32 offset from the descriptor."""
-    count, offset = unsigned(h, at, 4), unsigned(h, at + 4, 4)
-    start = offset + at
-    end = start + count * item
-    error = (
-        F.when(count.isNull() | offset.isNull(), "truncated")
-        .when(count > most, "count_exceeded")
-        .when(count == 0, F.when((offset != 0) & (start > size), "invalid_offset"))
-        .when((offset < 8) | (start < fixed) | (end > size), "invalid_offset")
-    )
-    ok = error.isNull()
-    return F.struct(start.alias("start"), F.when(ok, count).otherwise(0).cast("bigint").alias("count"), error.alias("error"), F.coalesce(start, F.lit(0)).cast("bigint").alias("b"), F.when(ok, end).otherwise(start).cast("bigint").alias("e"))
-
-
-def overlap(ranges: Column) -> Column:
-    """Whether any two of the half-open ranges (array of struct b, e) that are not empty have a byte in common."""
-    some = F.array_sort(F.filter(ranges, lambda r: r.e > r.b))
-    pairs = F.zip_with(some, F.slice(some, 2, 1 << 24), lambda x, y: F.coalesce(x.e > y.b, F.lit(False)))
-    return F.exists(pairs, lambda bad: bad)
-
-
-def each(count: Column, make: Callable[[Column], Column]) -> Column:
-    """make(0), make(1) ... make(count - 1) as an array."""
-    return F.transform(F.filter(F.sequence(F.lit(0).cast("bigint"), F.greatest(count - 1, F.lit(0))), lambda i: i < count), make)
-
-
-def bits(*flags: tuple[Column, int]) -> Column:
-    """The bits whose conditions hold, joined."""
-    out = F.lit(0).cast("bigint")
-    for condition, bit in flags:
-        out = out.bitwiseOR(F.when(condition, bit).otherwise(0).cast("bigint"))
-    return out
