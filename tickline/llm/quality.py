@@ -146,16 +146,19 @@ def fit(x: np.ndarray, y: np.ndarray, names: Sequence[str], *, trees: int = 40,
         p = 1 / (1 + np.exp(-margin))
         for tests, rows, value in _grow(binned, p - y, p * (1 - p), depth, bins, least):
             if tests:
-                found.setdefault(tuple(sorted(tests)), rows)
+                found.setdefault(tuple(sorted(tests)), rows.astype(np.int32))
             if value == value:
                 margin[rows] += rate * value
     rules = list(found)
-    hold = np.zeros((len(y), len(rules)), dtype=np.float32)
+    # one matrix in single precision, standardised in place: the driver has little memory
+    z = np.zeros((len(y), len(rules)), dtype=np.float32)
     for k, tests in enumerate(rules):
-        hold[found[tests], k] = 1
-    mean = hold.mean(axis=0)
-    scale = np.sqrt(mean * (1 - mean)) + 1e-6
-    z = (hold - mean) / scale
+        z[found.pop(tests), k] = 1
+    mean = z.mean(axis=0)
+    scale = np.sqrt(mean * (1 - mean)) + np.float32(1e-6)
+    z -= mean
+    z /= scale
+    y = y.astype(np.float32)
     w = np.zeros(len(rules), dtype=np.float32)
     bias = np.float32(base)
     v = np.random.default_rng(0).normal(size=len(rules)).astype(np.float32)
@@ -165,12 +168,12 @@ def fit(x: np.ndarray, y: np.ndarray, names: Sequence[str], *, trees: int = 40,
     step = np.float32(4 * len(y) / np.linalg.norm(z.T @ (z @ v)))
     ahead, t = w.copy(), 1.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-(bias + z @ ahead)))
-        bias -= np.float32(2 * (p - y).mean())
-        moved = ahead - step * (z.T @ (p - y)).astype(np.float32) / len(y)
-        new = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
+        wrong = 1 / (1 + np.exp(-(bias + z @ ahead))) - y
+        bias -= np.float32(2 * wrong.mean())
+        moved = ahead - step / np.float32(len(y)) * (z.T @ wrong)
+        new = np.sign(moved) * np.maximum(np.abs(moved) - step * np.float32(penalty), 0)
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead = (new + (t - 1) / t_next * (new - w)).astype(np.float32)
+        ahead = (new + np.float32((t - 1) / t_next) * (new - w)).astype(np.float32)
         w, t = new.astype(np.float32), t_next
     weights = w / scale
     intercept = float(bias - (weights * mean).sum())
