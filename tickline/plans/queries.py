@@ -185,11 +185,13 @@ def _sh_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.frames(_lines(spark, sf_dir), SH_TICK, content, ingress=F.col("seq"), receive_ns=F.col("seq") * 1000)
 
 
-_TICK_COLUMNS = ["channel", "native_sequence", "security_id", "action", "side", F.col("price.p6").alias("price_p6"), F.col("price.p6_valid").alias("price_valid"), F.col("quantity.raw").alias("quantity"), F.col("quantity.valid").alias("quantity_valid"), "primary_order_id", "validity", "quality"]
+def _tick_columns() -> list[str | Column]:
+    named = {"price.p6": "price_p6", "price.p6_valid": "price_valid", "quantity.raw": "quantity", "quantity.valid": "quantity_valid"}
+    return ["channel", "native_sequence", "security_id", "action", "side", *(F.col(c).alias(n) for c, n in named.items()), "primary_order_id", "validity", "quality"]
 
 
 def sh_tick_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_ticks(admit(_sh_frames(spark, sf_dir))).where("kind = 'shanghai_tick' and decode_error is null").select(*_TICK_COLUMNS, "aggressor", "phase", F.col("amount.p6").alias("amount_p6"), "matched_quantity")
+    return decode_ticks(admit(_sh_frames(spark, sf_dir))).where("kind = 'shanghai_tick' and decode_error is null").select(*_tick_columns(), "aggressor", "phase", F.col("amount.p6").alias("amount_p6"), "matched_quantity")
 
 
 def _sz_order_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +202,7 @@ def _sz_order_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sz_order_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_ticks(admit(_sz_order_frames(spark, sf_dir))).where("kind = 'shenzhen_order' and decode_error is null").select(*_TICK_COLUMNS, "order_type", "security_id_source", "md_stream_id")
+    return decode_ticks(admit(_sz_order_frames(spark, sf_dir))).where("kind = 'shenzhen_order' and decode_error is null").select(*_tick_columns(), "order_type", "security_id_source", "md_stream_id")
 
 
 def _sz_transaction_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +212,7 @@ def _sz_transaction_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sz_txn_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_ticks(admit(_sz_transaction_frames(spark, sf_dir))).where("kind = 'shenzhen_transaction' and decode_error is null").select(*_TICK_COLUMNS, "buy_order_id", "sell_order_id")
+    return decode_ticks(admit(_sz_transaction_frames(spark, sf_dir))).where("kind = 'shenzhen_transaction' and decode_error is null").select(*_tick_columns(), "buy_order_id", "sell_order_id")
 
 
 def p6_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
