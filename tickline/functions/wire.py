@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickline.functions.fixed import NULL_I32, NULL_I64, NULL_TIME
 
+
 def time_ns(raw: Column) -> Column:
     """Nanoseconds from midnight of a time hhmmssmmm; null if it is none."""
     h, m, s, ms = (F.floor(raw / 10_000_000), F.floor(raw / 100_000) % 100, F.floor(raw / 1000) % 100, raw % 1000)
