@@ -319,6 +319,37 @@ def test_decontamination(spark):
     assert find_leaks(docs, bench.limit(0)).count() == find_leaks(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [4, 1000])
+def test_decontamination_finds_frequent_edited_copies(spark, copies):
+    """Over half of the 3-grams are destroyed; a whole copy elsewhere does not hide the edited ones either."""
+    from tickline.llm.decontaminate import find_leaks
+
+    rng = random.Random(12)
+    w = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    item, second = w(30), w(30)
+    edited, edited_too = list(item), list(second)
+    for at in (3, 8, 13, 18, 23):
+        edited[at], edited_too[at] = w(2)
+    texts = [w(20) + edited + w(20) for _ in range(copies)] + [w(20) + edited_too + w(20) for _ in range(copies)] + [w(20) + second + w(20), w(80)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(second))], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in find_leaks(docs, bench).collect()}
+    assert got == {**{(i, 0): 0.75 for i in range(copies)}, **{(copies + i, 1): 0.75 for i in range(copies)}, (2 * copies, 1): 1.0}
+
+
+def test_decontamination_spares_only_frequent_grams(spark):
+    from tickline.llm.decontaminate import find_leaks
+
+    rng = random.Random(13)
+    w = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    item = w(30)
+    edited = [*item[:9], "put", *item[9:20], "in", *item[20:]]
+    texts = [w(10) + edited + w(10)] + [w(10) + item[:18] + w(10) for _ in range(8)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id bigint, text string")
+    assert [r["doc_id"] for r in find_leaks(docs, bench, share=0.9).collect()] == [0]
+
+
 def test_licenses(spark):
     from tickline.llm.licenses import TEMPLATES, longest_increasing, patience, scan_licenses
 

@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The n-grams of each test item are counted over the corpus; the rarer half of an
-item's n-grams, and all that fewer documents than a threshold hold, are its
-seeds. Passages of documents with two different seeds of an item near each other
+The seeds of a test item are its n-grams, without the most frequent in the
+corpus as far as every copy must hold two others. A copy of half the score may
+have lost any of them, so then none is spared and nothing need be counted.
+Passages of documents with two different seeds of an item near each other
 are aligned with the item, word by word. A passage whose alignment reaches a
 share of the score of a perfect copy is contamination.
 
@@ -180,6 +181,26 @@ def _search(items: Items, n: int, share: float):  # noqa: ANN202
     return search
 
 
+def spared(items: Items, n: int, share: float) -> np.ndarray:
+    """For each item, how many of its n-grams can be left out so that a copy with `share` of the score still holds two of the others.
+
+    A point of the score buys at most n - 1 lost n-grams (a word put in between),
+    so those that a copy must hold are the distinct ones less n - 1 for each
+    point that it may lose.
+    """
+    lost = np.floor((1 - share) * MATCH * np.diff(items.edge) + 1e-9).astype(np.int64) * max(n - 1, 1)
+    return np.maximum(0, np.bincount(items.item, minlength=len(items.ids)) - lost - 2)
+
+
+def _counted(docs: DataFrame, text_col: str, items: Items, n: int) -> np.ndarray:
+    """For each n-gram of each item, the number of documents that hold it."""
+    grams, back = np.unique(items.gram, return_inverse=True)
+    counted = docs.select(F.col(text_col)).mapInArrow(_count(grams, n), "gram bigint, docs bigint").groupBy("gram").agg(F.sum("docs").alias("docs")).toArrow()
+    held = np.zeros(len(grams), dtype=np.int64)
+    held[counted["gram"].to_numpy()] = counted["docs"].to_numpy()
+    return held[back]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = GRAM, rare: int = RARE, share: float = SHARE) -> DataFrame:
     """One row for each document and test item that it holds a copy of: score (1 for a perfect copy), start_word, end_word.
 
@@ -197,18 +218,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     for block in range(blocks):
         rows = some.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == block).orderBy(item_col).select(F.col(item_col).cast("bigint").alias("i"), F.col(item_text_col).alias("t")).toArrow()
         items = Items.of(rows["i"].to_numpy(), rows["t"].combine_chunks(), n)
-        grams, back = np.unique(items.gram, return_inverse=True)
-        counted = docs.select(F.col(text_col)).mapInArrow(_count(grams, n), "gram bigint, docs bigint").groupBy("gram").agg(F.sum("docs").alias("docs")).toArrow()
-        held = np.zeros(len(grams), dtype=np.int64)
-        held[counted["gram"].to_numpy()] = counted["docs"].to_numpy()
-        often = held[back]
-        order = np.lexsort((often, items.item))
-        middle = {}
-        for i, group in zip(*np.unique(items.item[order], return_index=True), strict=True):
-            middle[int(i)] = group
-        counts = np.bincount(items.item, minlength=len(items.ids))
-        limit = np.array([often[order[middle[i] + (counts[i] - 1) // 2]] if i in middle else 0 for i in range(len(items.ids))], dtype=np.int64)
-        seeds = often <= np.maximum(rare, limit[items.item]) if len(often) else np.zeros(0, bool)
-        found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_search(items.keep(seeds), n, share), f"id {id_type}, item_id bigint, score double, start_word int, end_word int")
+        spare = spared(items, n, share)
+        if spare.any():
+            often = _counted(docs, text_col, items, n)
+            order = np.lexsort((often, items.item))
+            number = np.bincount(items.item, minlength=len(items.ids))
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = np.arange(len(order)) - (np.cumsum(number) - number)[items.item[order]]
+            items = items.keep((place < (number - spare)[items.item]) | (often <= rare))
+        found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_search(items, n, share), f"id {id_type}, item_id bigint, score double, start_word int, end_word int")
         out = found if out is None else out.unionByName(found)
     return out.withColumnRenamed("id", id_col)
