@@ -365,6 +365,25 @@ def test_licenses(spark):
     assert (got[0]["MIT"]["start_word"], got[0]["MIT"]["end_word"]) == (50, 55) and 0.9 < got[2]["MIT-text"]["coverage"] < 1
 
 
+def test_licenses_with_end_words_around(spark):
+    """Exact notices are found where the template's first and last words stand before and after them too."""
+    from tickline.llm.licenses import TEMPLATES, scan_licenses
+
+    rows, want = [], {}
+    for name, template in TEMPLATES.items():
+        first, last = template.split()[0], template.split()[-1]
+        for gap in (0, 1, 4):
+            want[len(rows)] = (name, 2 + gap)
+            rows.append((len(rows), f"x {first} {'y ' * gap}{template} {'y ' * gap}{last} z"))
+    want[len(rows)] = ("CC-BY-4.0", 3)
+    rows.append((len(rows), "The code is licensed under CC BY 4.0 (version 4.0)"))
+    want[len(rows)] = ("GPL-3.0", 5)
+    rows.append((len(rows), "this is some of all This work is licensed under the GNU General Public License, version 3"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["license"]): (r["coverage"], r["start_word"]) for r in scan_licenses(docs).collect()}
+    assert {(i, name): got.get((i, name)) for i, (name, _) in want.items()} == {(i, name): (1.0, at) for i, (name, at) in want.items()}
+
+
 def test_repeated_and_missing_ids(spark):
     from tickline.llm.jaccard_join import jaccard_components
     from tickline.llm.substring_dedup import dedup_substrings

@@ -6,7 +6,8 @@ subsequence of their places is kept; the gaps between kept anchors are aligned
 in the same way, where more words become unique. The share of aligned words in
 the template, or in the stretch from the first to the last of them if that is
 longer, is the coverage: a notice does not cover another one that it contains
-with words in between.
+with words in between. Where repeated words leave this alignment short of a
+perfect one, a longest common subsequence from each first word decides.
 """
 
 from __future__ import annotations
@@ -86,6 +87,39 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def cover(template: Sequence[int], text: Sequence[int], place: Sequence[int], least: float) -> tuple[float, int, int]:
+    """(coverage, first place, last place) of the best copy in the words `text` at `place`; coverage 0 if `least` is not reached.
+
+    Of equal coverages the shortest stretch counts, then the first.
+    """
+    size = len(template)
+    pairs = patience(template, text)
+    if len(pairs) == size and place[pairs[-1][1]] - place[pairs[0][1]] < size:
+        return 1.0, place[pairs[0][1]], place[pairs[-1][1]]
+    if (Counter(template) & Counter(text)).total() / size < least:
+        return 0.0, 0, 0
+    at: dict[int, int] = {}
+    for i, w in enumerate(template):
+        at[w] = at.get(w, 0) | 1 << i
+    whole = (1 << size) - 1
+    found = (0.0, 0, 0)
+    for s, w in enumerate(text):
+        if w not in at:
+            continue
+        # bit i is off where the common subsequence grows at the template's word i
+        rest = whole
+        for e in range(s, len(text)):
+            stretch = place[e] - place[s] + 1
+            if size / stretch < least:
+                break
+            same = rest & at.get(text[e], 0)
+            rest = ((rest + same) | (rest - same)) & whole
+            score = (size - rest.bit_count()) / max(size, stretch)
+            if score >= least and (score, -stretch) > (found[0], found[1] - found[2] - 1):
+                found = (score, place[s], place[e])
+    return found
+
+
 def _scan(names: list[str], templates: list[list[int]], keys: list[int], least: float):  # noqa: ANN202
     vocabulary = np.unique(np.array([w for t in templates for w in t] + keys, dtype=np.uint64))
     key_words = np.unique(np.array(keys, dtype=np.uint64))
@@ -109,13 +143,9 @@ def _scan(names: list[str], templates: list[list[int]], keys: list[int], least:
                         text = h[place].tolist()
                         for k, template in enumerate(templates):
                             for first, last in _tight(text, place, template):
-                                pairs = patience(template, text[first:last])
-                                if not pairs:
-                                    continue
-                                stretch = int(place[first + pairs[-1][1]] - place[first + pairs[0][1]]) + 1
-                                score = len(pairs) / max(len(template), stretch)
-                                if score >= least and score > best.get(k, (0.0,))[0]:
-                                    best[k] = (score, int(place[first + pairs[0][1]]) - a, int(place[first + pairs[-1][1]]) + 1 - a)
+                                score, began, ended = cover(template, text[first:last], place[first:last].tolist(), least)
+                                if score > best.get(k, (0.0,))[0]:
+                                    best[k] = (score, began - a, ended + 1 - a)
                     rows += [(lo + d, names[k], *found) for k, found in best.items()]
                 if rows:
                     row, name, score, s, e = zip(*rows, strict=True)
