@@ -384,6 +384,36 @@ def test_licenses_with_end_words_around(spark):
     assert {(i, name): got.get((i, name)) for i, (name, _) in want.items()} == {(i, name): (1.0, at) for i, (name, at) in want.items()}
 
 
+def test_licenses_without_their_rarest_words(spark):
+    """Against brute force: copies that lack words which stand elsewhere in the stretch, after other notices."""
+    from tickline.llm.licenses import TEMPLATES, scan_licenses
+
+    def brute(template, text):
+        best = 0.0
+        for s in range(len(text)):
+            row = [0] * (len(template) + 1)
+            for e in range(s, min(len(text), s + int(len(template) / 0.9) + 1)):
+                new = [0]
+                for j, w in enumerate(template):
+                    new.append(row[j] + 1 if w == text[e] else max(row[j + 1], new[j]))
+                row = new
+                best = max(best, row[-1] / max(len(template), e - s + 1))
+        return best
+
+    rng = random.Random(14)
+    words = {name: t.lower().replace(",", "").replace("/", " ").replace("(", "").replace(")", "").replace("-", " ").replace(".", " ").split() for name, t in TEMPLATES.items()}
+    texts = ["This program is licensed under the GNU General Public License, version 3 " + "y " * 19 + "work of this license"]
+    for name in ("GPL-3.0", "MIT-text", "BSD-text", "ISC-text") * 4:
+        w = list(words[name])
+        gone = [w.pop(rng.randrange(len(w))) for _ in range(rng.randint(1, len(w) // 9))]
+        w[len(w) // 2 : len(w) // 2] = ["new"] * rng.randint(0, 1)
+        texts.append(" ".join([*words[rng.choice(["MIT", "ISC-text", "BSD-text"])], *["y"] * 9, *w, *["y"] * 30, "license", *gone]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r["doc_id"], r["license"]): r["coverage"] for r in scan_licenses(docs).collect()}
+    want = {(i, name): brute(t, x.lower().replace(",", "").split()) for i, x in enumerate(texts) for name, t in words.items()}
+    assert got == {k: v for k, v in want.items() if v >= 0.9} and (0, "GPL-3.0") in got
+
+
 def test_repeated_and_missing_ids(spark):
     from tickline.llm.jaccard_join import jaccard_components
     from tickline.llm.substring_dedup import dedup_substrings

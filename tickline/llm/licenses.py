@@ -15,6 +15,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
+from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -123,7 +124,7 @@ def cover(template: Sequence[int], text: Sequence[int], place: Sequence[int], le
 def _scan(names: list[str], templates: list[list[int]], keys: list[int], least: float):  # noqa: ANN202
     vocabulary = np.unique(np.array([w for t in templates for w in t] + keys, dtype=np.uint64))
     key_words = np.unique(np.array(keys, dtype=np.uint64))
-    longest = max(map(len, templates))
+    longest = max(len(t) + _room(len(t), least)[1] for t in templates)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,8 +142,9 @@ def _scan(names: list[str], templates: list[list[int]], keys: list[int], least:
                         start, end = max(a, a + int(at[s]) - longest), min(b, a + int(at[e - 1]) + longest)
                         place = start + np.flatnonzero(known[start:end])
                         text = h[place].tolist()
+                        counts = Counter(text)
                         for k, template in enumerate(templates):
-                            for first, last in _tight(text, place, template):
+                            for first, last in _tight(text, counts, place, template, least):
                                 score, began, ended = cover(template, text[first:last], place[first:last].tolist(), least)
                                 if score > best.get(k, (0.0,))[0]:
                                     best[k] = (score, began - a, ended + 1 - a)
@@ -154,22 +156,32 @@ def _scan(names: list[str], templates: list[list[int]], keys: list[int], least:
     return scan
 
 
-def _tight(text: list[int], place: np.ndarray, template: list[int]) -> Iterator[tuple[int, int]]:
-    """Stretches of the known words, as long as the template and half, that begin where one of its rarest words stands."""
-    counts = Counter(text)
-    present = [w for w in set(template) if counts[w]]
-    if not present:
-        return
-    rare = min(present, key=lambda w: (counts[w], template.index(w)))
+def _room(size: int, least: float) -> tuple[int, int]:
+    """How many of a template's words a copy may lack, and how many others it may hold."""
+    return size - ceil(least * size - 1e-9), floor(size / least + 1e-9) - size
+
+
+def _tight(text: list[int], counts: Counter[int], place: np.ndarray, template: list[int], least: float) -> Iterator[tuple[int, int]]:
+    """Stretches of the known words that hold all copies of the template.
+
+    A copy lacks at most so many words of the template, so it holds one of the
+    rarest of them, one more than that, in its place.
+    """
     size = len(template)
+    lacking, more = _room(size, least)
+    if (counts & Counter(template)).total() < size - lacking:
+        return
+    seeds: dict[int, list[int]] = {}
+    for p in sorted(range(size), key=lambda p: counts[template[p]])[: lacking + 1]:
+        seeds.setdefault(template[p], []).append(p)
+    seen = set()
     for i, w in enumerate(text):
-        if w == rare:
-            first, last = i, i + 1
-            while first and place[i] - place[first - 1] <= size + size // 2:
-                first -= 1
-            while last < len(text) and place[last] - place[i] <= size + size // 2:
-                last += 1
-            yield first, last
+        for p in seeds.get(w, ()):
+            low, high = place[i] - p - more, place[i] + size - 1 - p + more
+            window = int(np.searchsorted(place, low)), int(np.searchsorted(place, high, side="right"))
+            if window not in seen:
+                seen.add(window)
+                yield window
 
 
 def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, str] = TEMPLATES, key_words: Sequence[str] = KEY_WORDS, coverage: float = COVERAGE) -> DataFrame:
