@@ -4,50 +4,72 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it
 as Parquet and hands it to the next one. All but the last return the columns of
 documents. Near duplicates are texts whose sets of five-word shingles have a
 Jaccard similarity of 0.8 or more.
+
+What an operator decides holds for the rows with that id and that text: a hash of
+both is the key by which it comes back. So rows without an id are judged like all
+others, and rows with one id and different texts each for itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickline.llm.decontaminate import find_leaks
 from tickline.llm.jaccard_join import jaccard_components
 from tickline.llm.mixing import mix_sources
 from tickline.llm.quality import score_quality
-from tickline.llm.shared import new_folder
+from tickline.llm.shared import cut, new_folder
 from tickline.llm.substring_dedup import dedup_substrings
 
 
-def _ids(df: DataFrame) -> DataFrame:
-    return df.select("doc_id").distinct()
+KEY = "row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+
+
+def _without(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """docs without the rows whose key was `decided`."""
+    return _keyed(docs).join(decided.select(KEY).distinct().hint("shuffle_hash"), KEY, "left_anti").select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the rule ensemble predicts to be of low quality."""
-    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.join(_ids(scored.where("predicted = 0")).hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    """Drops the documents that the rule ensemble predicts to be of low quality, with an id or without."""
+    scored = score_quality(_keyed(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), key_col=KEY)
+    return _without(docs, scored.where("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near duplicates: the one with the smallest id."""
-    linked = jaccard_components(docs, size=5, percent=80)
-    others = _ids(linked.where("component_id != doc_id"))
-    return docs.join(others.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each component of near duplicates: the one with the smallest id.
+
+    Rows without an id come last, rows with one id in the order of their keys, and
+    of equal rows one is kept. Rows without words have no duplicates and all stay.
+    """
+    linked = jaccard_components(_keyed(docs), id_col=KEY, size=5, percent=80)
+    members = linked.groupBy(KEY, "component_id").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
+    ids = _keyed(docs).groupBy(KEY).agg(F.first("doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", KEY, ((F.col("copies") > 1) & (F.col("n") > 0)).alias("repeated")))
+    kept = cut(members.join(ids, KEY).groupBy("component_id").agg(first.alias("first")).select(f"first.{KEY}", "first.repeated"))
+    rows = _keyed(docs).join(kept.hint("shuffle_hash"), KEY)
+    if not kept.where("repeated").isEmpty():
+        order = Window.partitionBy(KEY).orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")))
+        rows = rows.withColumn("turn", F.row_number().over(order)).where("not repeated or turn = 1")
+    return rows.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes the words of passages of 35 words that start anywhere else; a document keeps its row."""
-    changed = dedup_substrings(docs, window=35).where("n_removed > 0").select("doc_id", F.coalesce("kept_text", F.lit("")).alias("kept"))
-    joined = docs.join(changed.dropDuplicates(["doc_id"]).hint("shuffle_hash"), "doc_id", "left")
+    """Removes the words of passages of 35 words that start anywhere else; a document keeps its row, with an id or without."""
+    changed = dedup_substrings(_keyed(docs), id_col=KEY, window=35).where("n_removed > 0").select(KEY, F.coalesce("kept_text", F.lit("")).alias("kept"))
+    joined = _keyed(docs).join(changed.dropDuplicates([KEY]).hint("shuffle_hash"), KEY, "left")
     text = F.coalesce("kept", "text")
     return joined.withColumn("n_chars", F.when(F.col("kept").isNotNull(), F.length("kept").cast("bigint")).otherwise(F.col("n_chars"))).withColumn("text", text).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a copy of a test item."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(_ids(leaks).hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    """Drops the documents that hold a copy of a test item, with an id or without."""
+    return _without(docs, find_leaks(_keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=KEY))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import collections
 import os
+import random
 
 import pytest
 
@@ -22,3 +24,72 @@ def test_stages_take_effect(spark, tmp_path):
     mixed = p.STAGES[-1][1](spark, docs, SF)
     assert mixed.count() == before
     assert 0 < before
+
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def words(rng, n):
+    return ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], DOCS).repartition(3)
+
+
+def rows_of(df):
+    return collections.Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+
+def test_quality_without_and_with_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rng = random.Random(21)
+    good = lambda: " ".join(words(rng, 60))
+    junk = lambda: "$$ ## !! " * 40 + str(rng.random())
+    rows = [(i, good() if i % 2 else junk()) for i in range(400)]
+    spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows += [(None, good()), (None, junk()), (500, good()), (500, junk()), (None, junk())]
+    got = rows_of(p.quality(spark, frame(spark, rows), str(tmp_path)))
+    assert got == collections.Counter(r for r in rows if not r[1].startswith("$$"))
+
+
+def test_near_duplicates_without_and_with_repeated_ids(spark):
+    import corpus_pipeline as p
+
+    rng = random.Random(22)
+    a, b, c, d, e = (words(rng, 80) for _ in range(5))
+    near = lambda w, k: " ".join([*w[:-1], f"other{k}"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a, 1)), (None, near(a, 2)), (3, " ".join(c)), (3, " ".join(c)), (None, " ".join(d)), (None, " ".join(d)), (None, near(d, 1)), (None, " ".join(e)), (4, ""), (4, ""), (None, None), (None, None)]
+    got = rows_of(p.near_duplicates(spark, frame(spark, rows), ""))
+    ds = [k for k in got if k[0] is None and k[1] in (" ".join(d), near(d, 1))]
+    assert len(ds) == 1 and got.pop(ds[0]) == 1
+    assert got == collections.Counter([(1, " ".join(a)), (1, " ".join(b)), (3, " ".join(c)), (None, " ".join(e)), (4, ""), (4, ""), (None, None), (None, None)])
+
+
+def test_repeated_passages_without_and_with_repeated_ids(spark):
+    import corpus_pipeline as p
+
+    rng = random.Random(23)
+    passage = words(rng, 40)
+    rows = [(i, words(rng, 30) + (passage if shared else []) + words(rng, 30)) for i, shared in ((1, True), (1, False), (1, True), (None, True), (None, False), (2, False))]
+    rows += [(5, w := words(rng, 50)), (5, w)]
+    count = collections.Counter(tuple(w[j : j + 35]) for _, w in rows for j in range(len(w) - 34))
+    want = []
+    for i, w in rows:
+        gone = {j + k for j in range(len(w) - 34) if count[tuple(w[j : j + 35])] > 1 for k in range(35)}
+        want.append((i, " ".join(x for j, x in enumerate(w) if j not in gone)))
+    out = p.repeated_passages(spark, frame(spark, [(i, " ".join(w)) for i, w in rows]), "")
+    assert rows_of(out) == collections.Counter(want) and all(r["n_chars"] == len(r["text"]) for r in out.collect())
+
+
+def test_decontamination_without_and_with_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rng = random.Random(24)
+    item = words(rng, 30)
+    spark.createDataFrame([(0, " ".join(item))], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(i, " ".join(words(rng, 30) + (item if leak else []) + words(rng, 30))) for i, leak in ((1, True), (1, False), (None, True), (None, False), (2, True), (3, False))]
+    rows += [(None, None), (1, "")]
+    got = rows_of(p.decontamination(spark, frame(spark, rows), str(tmp_path)))
+    assert got == collections.Counter(r for r in rows if " ".join(item) not in (r[1] or ""))

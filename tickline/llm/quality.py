@@ -87,7 +87,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, off in chunks(batch.column(1)):
             x = statistics(data, off)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(STATS)))], names=["id", *STATS])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(STATS))), *(c.slice(lo, hi - lo) for c in batch.columns[2:])], names=["id", *STATS, *batch.schema.names[2:]])
 
 
 @dataclass
@@ -185,17 +185,19 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", key_col: str | None = None, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of `docs`: id, held_out, score (0 to 1, higher: label 1 likelier) and predicted.
 
     The fit takes at most `fit_rows` labelled rows outside fold 0, never the
     labels of fold 0. A null or empty text has the statistics of no words and is
     scored by them. Without labels every score is 0.5; with labels of one kind,
     their smoothed share. Null labels and labels of unknown documents count for
-    nothing. A document with several labels is fitted with each.
+    nothing. A document with several labels is fitted with each. `key_col` of
+    `docs`, an integer, is returned too, to tell rows with equal ids or none apart.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}"))
+    key = [F.col(key_col).cast("bigint").alias("key")] if key_col else []
+    stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *key).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}" + ", key bigint" * len(key)))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold("id") != 0))
     # a share of the hash range that holds little more than the sample, so that no task sends the driver rows in vain
     share = min(1.0, 1.2 * fit_rows / max(1, marks.count()))
@@ -204,5 +206,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     sample = stats.join(early, "id").orderBy("turn", "y").limit(fit_rows).select(*STATS, "y")
     rows = sample.toPandas()
     model = fit(rows[list(STATS)].to_numpy(float), rows["y"].to_numpy(float), STATS)
-    out = stats.select(F.col("id").alias(id_col), (fold("id") == 0).alias("held_out"), model.score().alias("score"))
+    out = stats.select(F.col("id").alias(id_col), *(F.col("key").alias(key_col) for _ in key), (fold("id") == 0).alias("held_out"), model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
