@@ -1,12 +1,10 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
-
-Every document is parsed against an index over all reference blocks, which are
-the runs of windows with one anchor (see `repeats`). A run found whole in
-another block is one factor. Where two blocks share an anchor but differ
-somewhere, the greedy parse is redone at the factor's boundaries: each window of
-the run is looked up in the index of the windows of all such blocks, and a
-factor reaches as far as the look-ups succeed. Factors of at least `window`
-words are duplicate spans.
+"""Substring deduplication by anchored hashing of windows.
+
+This stands in for relative Lempel-Ziv parsing: no greedy factors are computed.
+The blocks are the runs of windows with one anchor (see `repeats`). A run found
+whole in another block by its hash is covered. Where two blocks share an anchor
+but differ somewhere, each window of the run is hashed, and windows that occur
+more than once are duplicate spans.
 """
 
 from __future__ import annotations
