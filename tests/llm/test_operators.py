@@ -282,6 +282,18 @@ def test_url_filter(spark):
     }
 
 
+def test_nearest_goes_on_past_small_parts(spark, monkeypatch):
+    """A query whose own part holds few rows, some of them with its id, still gets k neighbours."""
+    from tickline.llm import ann
+
+    eye = np.eye(3) * 20
+    monkeypatch.setattr(ann, "learn", lambda *_: ann.Router(np.eye(3), np.zeros(3), eye, np.zeros(3), 0.5))
+    rows = [(0, [1.0, 0.1, 0.0])] * 4 + [(i, [1.0, 0.1, 0.0]) for i in range(1, 4)] + [(i, [0.1, 1.0, 0.0]) for i in range(4, 22)] + [(i, [0.0, 0.1, 1.0]) for i in range(22, 60)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = ann.nearest(vectors, vectors.where("vec_id in (0, 5, 30)").dropDuplicates(["vec_id"]), k=20).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in found} == {0: 20, 5: 20, 30: 20}
+
+
 def brute_align(a, b):
     best = 0
     rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

@@ -103,12 +103,13 @@ class Router:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query number, part) for every part that a query is sent to."""
+    def visits(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query number, part) for every part that a query is sent to: up to the share, and on until they hold `least` rows."""
         p = self.probabilities(x)
         order = np.argsort(-p, axis=1, kind="stable")
         before = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1) - np.take_along_axis(p, order, axis=1)
-        row, rank = np.nonzero(before < self.share)
+        held = np.cumsum(sizes[order], axis=1) - sizes[order]
+        row, rank = np.nonzero((before < self.share) | (held < least))
         return row, order[row, rank]
 
 
@@ -174,12 +175,12 @@ def _assign(router: Router):  # noqa: ANN202
     return assign
 
 
-def _visit(router: Router):  # noqa: ANN202
+def _visit(router: Router, sizes: np.ndarray, least: int):  # noqa: ANN202
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 b = batch.slice(i, 1024)
-                row, part = router.visits(_vectors(b.column(1)).astype(float))
+                row, part = router.visits(_vectors(b.column(1)).astype(float), sizes, least)
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(part.astype(np.int32))], names=["id", "vector", "part"])
 
@@ -222,8 +223,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", v
     Ties go to the smaller id. A row is no neighbour of a query with its id.
     Null, empty and zero vectors, vectors that hold nulls or values that are not
     finite, rows without an id, and vectors of another length than the rows
-    mostly have take no part. A query with fewer than k other rows in the parts
-    that it visits gets those. Where the sample is too small for parts, every
+    mostly have take no part. A query goes on to further parts until they hold k
+    other rows, so it gets fewer only where the table has fewer. Where the sample is too small for parts, every
     query meets every row.
     """
     spark = vectors.sparkSession
@@ -245,7 +246,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", v
     kind = vectors.schema[vector_col].dataType.simpleString()
     ddl = f"id bigint, vector {kind}, part int"
     homes = cut(rows.mapInArrow(_assign(router), ddl))
-    visits = cut(asked.mapInArrow(_visit(router), ddl))
+    sizes = np.zeros(len(router.b2), dtype=np.int64)
+    for r in homes.groupBy("part").count().collect():
+        sizes[r["part"]] = r["count"]
+    # all rows with the query's id are left out, so as many as one id has come on top
+    own = homes.groupBy("id").count().agg(F.max("count")).first()[0] or 0
+    visits = cut(asked.mapInArrow(_visit(router, sizes, k + own), ddl))
     # one row for each part: into how many blocks its rows and its queries are dealt
     blocks = lambda df, name: df.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
     dealt = F.broadcast(blocks(homes, "row_blocks").join(blocks(visits, "query_blocks"), "part"))
