@@ -131,6 +131,56 @@ def test_jaccard_join(spark, docs, size, percent):
     assert got == brute_jaccard(corpus(), size, percent)
 
 
+def crowded(seed=3):
+    """A large group of near copies at all distances around the threshold, and a passage that many texts share."""
+    rng = random.Random(seed)
+    words = lambda n: [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+    base, passage = words(90), words(60)
+    texts = []
+    for i in range(140):
+        w = list(base)
+        for _ in range(i % 8):
+            w[rng.randrange(len(w))] = f"x{rng.randint(0, 10**6)}"
+        texts.append(w)
+    texts += [words(rng.randint(0, 14)) + passage + words(rng.randint(0, 14)) for _ in range(120)]
+    texts += [base, passage, words(30)] * 3
+    return [(i, " ".join(t), "s", "k", "s", 1) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("rows", [1 << 15, 16])
+def test_jaccard_join_of_crowds(spark, monkeypatch, rows):
+    """Whole buckets, and buckets dealt out in blocks."""
+    from tickline.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "ROWS", rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(spark.createDataFrame(crowded(), DOC).repartition(3)).collect()}
+    assert got == brute_jaccard(crowded(), 4, 85)
+
+
+def test_signatures_lose_no_link():
+    from tickline.llm.jaccard_join import _Bucket, _sets, rare_first, signatures, overlap_needed  # noqa: F401
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    universe = rng.integers(0, 2**63, 900).astype(np.uint64)
+    sets = [np.sort(rng.choice(universe[:k], size=int(k * f), replace=False)) for k in (40, 200, 900) for f in (0.85, 0.9, 0.95) for _ in range(12)]
+    g, edge = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    d = np.repeat(np.arange(len(sets)), np.diff(edge))
+    n = np.diff(edge)
+    raw = signatures(g, d, edge, 85)
+    token, row = rare_first(g, d, edge, np.zeros(1 << 10, np.uint8), n - overlap_needed(n, 85) + 1)
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    k = len(row)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(token.view(np.int64)), pa.array(np.zeros(k, np.int64)), pa.array(row), pa.array(row), pa.array(n[row].astype(np.int32)), pa.array(place), pa.array(row), pa.array(np.ones(k, bool)), pa.array([raw[r].tobytes() for r in row], pa.binary())],
+        names=["token", "block", "rank", "class", "n", "place", "root", "home", "signature"],
+    )
+    pairs = {tuple(x) for part in _Bucket([batch]).pairs(1 << 30, 85) for x in part.tolist()}
+    linked = {(a, b) for a in range(len(sets)) for b in range(a) if 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 85 * (len(sets[a]) + len(sets[b]) - c)}
+    linked = {(min(p), max(p)) for p in linked}
+    assert linked and linked <= pairs
+
+
 def test_components(spark):
     from tickline.llm.components import components
 

@@ -9,15 +9,19 @@ runs under several orders, each over the classes that passed the one before, so
 what stays is the intersection of the filters. The last order puts rare shingles
 first, by a table of frequencies of fixed size: there, texts that only have
 frequent passages in common meet in no prefix. Only then are pairs formed, from
-classes that share a shingle of the shortest sufficient prefix under that order;
-a pair must also pass the prefix test under the others before its sets are
-intersected.
+classes that share a shingle of the shortest sufficient prefix under that order.
+
+A bucket's row carries what rules a pair out before it leaves the bucket: the
+set's size, the shingle's place in the order, bitmaps of the prefixes under the
+other orders, which must intersect, and a parity bitmap that bounds from below in
+how many shingles two sets differ. Only pairs that pass meet as whole sets.
 
 Pairs are formed in rounds. In a round, the first members of each bucket that
 have not been centres yet are compared with the bucket's other members, except
 where both are known to be connected. A group of near copies thus costs a few
 comparisons for each member, not all its pairs, and every link between different
-components is still found.
+components is still found. A large bucket is dealt out in blocks, each with a copy
+of the round's centres.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickline.llm.components import components
-from tickline.llm.repeats import NO_ID, keyed, partitions
-from tickline.llm.shared import cut, stored
+from tickline.llm.repeats import NO_ID, bucket_count, keyed, partitions
+from tickline.llm.shared import Scratch
 from tickline.llm.text import U, chunks, gram_hash, mix, owner, prefix_sums, span_hash, word_hash, words
 
 #: Salts of the global orders; order i sorts shingles by mix(shingle ^ salt).
@@ -45,6 +49,11 @@ MARKS = 1 << 23
 #: Slots of the table of shingle frequencies (4 MB), and the pieces in which it is added up.
 SKETCH = 1 << 22
 PIECES = 64
+#: Bits of each bitmap of a signature, and the salt of the parity bitmap.
+BITS = 512
+PARITY = 0x8CB92BA72F3D8DD7
+#: Rows of buckets that a task compares at a time. A bucket of more members is dealt out in blocks.
+ROWS = 1 << 15
 TOKENS, HITS, CLASSES = 0, 1, 2
 MEET_DDL = "bucket int, kind tinyint, payload binary"
 MET_DDL = "kind tinyint, class bigint, n int, hits int, key bigint, doc bigint"
@@ -169,16 +178,20 @@ def _met(kind: int, rows: int, /, **columns: np.ndarray) -> pa.RecordBatch:
 
 
 def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens, classes = [], []
+    """Rows come in order by bucket; only one bucket's shingles are held at a time."""
+    tokens, classes, now = [], [], None
     for batch in batches:
-        for kind, payload in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+        for bucket, kind, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if bucket != now:
+                yield from _meetings(tokens, classes)
+                tokens, classes, now = [], [], bucket
             raw = np.frombuffer(payload.as_buffer(), dtype=np.uint8)
             if kind == TOKENS:
                 n = len(raw) // 13
                 wide = np.zeros((n, 8), dtype=np.uint8)
                 wide[:, :5] = raw[: 5 * n].reshape(n, 5)
                 tokens.append(wide.view(np.uint64)[:, 0])
-                classes.append(raw[5 * n :].view(np.int64) if (5 * n) % 8 == 0 else raw[5 * n :].copy().view(np.int64))
+                classes.append(raw[5 * n :].copy().view(np.int64))
             elif kind == HITS:
                 n = len(raw) // 12
                 yield _met(HITS, n, **{"class": raw[: 8 * n].view(np.int64), "hits": raw[8 * n :].view(np.int32)})
@@ -186,8 +199,13 @@ def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n = len(raw) // 28
                 key, doc, cls = (raw[8 * n * i : 8 * n * (i + 1)].view(np.int64) for i in range(3))
                 yield _met(CLASSES, n, key=key, doc=doc, n=raw[24 * n :].view(np.int32), **{"class": cls})
+    yield from _meetings(tokens, classes)
+
+
+def _meetings(tokens: list[np.ndarray], classes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of one bucket each class shares with others."""
     if tokens:
-        token, cls, many = _distinct(np.concatenate(tokens), np.concatenate(classes))
+        _, cls, many = _distinct(np.concatenate(tokens), np.concatenate(classes))
         hit, hits = np.unique(cls[many & (cls != 0)], return_counts=True)
         for i in range(0, len(hit), 65536):
             yield _met(HITS, len(hit[i : i + 65536]), **{"class": hit[i : i + 65536], "hits": hits[i : i + 65536].astype(np.int32)})
@@ -332,63 +350,161 @@ def _send_rare(buckets: int, percent: int, sketch: Broadcast):  # noqa: ANN202
     return send
 
 
+def row_bits(h: np.ndarray, d: np.ndarray, rows: int, *, parity: bool) -> np.ndarray:
+    """A bitmap of BITS for each row: bit h % BITS of each value, set, or flipped with `parity`."""
+    out = np.zeros((rows, BITS // 8), dtype=np.uint8)
+    edge = np.searchsorted(d, np.arange(0, rows + 1024, 1024))
+    for i, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+        lo, hi = 1024 * i, min(rows, 1024 * (i + 1))
+        if a < b:
+            times = np.bincount((d[a:b] - lo) * BITS + (h[a:b] & U(BITS - 1)).astype(np.int64), minlength=(hi - lo) * BITS)
+            bits = (times & 1) if parity else (times > 0)
+            out[lo:hi] = np.packbits(bits.astype(np.uint8).reshape(hi - lo, BITS), axis=1)
+    return out
+
+
+def signatures(g: np.ndarray, d: np.ndarray, edge: np.ndarray, percent: int) -> np.ndarray:
+    """For each set its parity bitmap, and bitmaps of its shortest sufficient prefix under the orders by hash.
+
+    Two sets differ in at least as many shingles as their parity bitmaps differ in
+    bits, and linked sets have a prefix shingle, and so a bit, in common under
+    every order: neither test can lose a link.
+    """
+    n = np.diff(edge)
+    parts = [row_bits(mix(g ^ U(PARITY)), d, len(n), parity=True)]
+    for salt in ORDERS:
+        token, row = prefixes(g, d, edge, salt, n - overlap_needed(n, percent) + 1)
+        parts.append(row_bits(mix(token), row, len(n), parity=False))
+    return np.concatenate(parts, axis=1)
+
+
+def _sign(percent: int):  # noqa: ANN202
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2048):
+                part = batch.slice(i, 2048)
+                g, d, edge = _sets(part.column(1))
+                raw = signatures(g, d, edge, percent)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([r.tobytes() for r in raw], pa.binary())], names=["class", "shingles", "n", "signature"])
+
+    return sign
+
+
 def _bucket_rows(percent: int, sketch: Broadcast):  # noqa: ANN202
+    """One row for each shingle of the shortest sufficient prefix under the order by frequency, with its place there."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             g, d, edge = _sets(batch.column(1))
             n = np.diff(edge)
-            token, row = rare_first(g, d, edge, sketch.value, n - overlap_needed(n, percent) + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(2).take(pa.array(row)), batch.column(3).take(pa.array(row))], names=["token", "class", "n", "doc"])
+            length = n - overlap_needed(n, percent) + 1
+            token, row = rare_first(g, d, edge, sketch.value, length)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(place.astype(np.int32))], names=["token", "class", "place"])
 
     return rows
 
 
+BUCKET_DDL = "token bigint, class bigint, place int"
 PAIR_DDL = "a bigint, b bigint"
 
 
-def _pairs(lo: int, hi: int, percent: int):  # noqa: ANN202
-    """Pairs of a bucket's members number lo to hi - 1 with later ones of other components."""
+class _Bucket:
+    """Rows of whole buckets, side by side."""
+
+    def __init__(self, batches: list[pa.RecordBatch]) -> None:
+        table = pa.Table.from_batches(batches)
+        column = {name: table.column(name).to_numpy() for name in ("token", "block", "rank", "class", "n", "place", "root", "home")}
+        order = np.lexsort((column["class"], column["rank"], column["block"], column["token"]))
+        self.token, self.block, self.rank, self.cls, self.n, self.place, self.root, self.home = (v[order] for v in column.values())
+        self.n = self.n.astype(np.int64)
+        self.signature = _sets(pa.concat_arrays(table.column("signature").chunks))[0].reshape(len(order), -1)[order]
+
+    def may_link(self, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+        """Of the pairs of rows, those that no test can rule out."""
+        ok = (self.root[x] != self.root[y]) & (self.cls[x] != self.cls[y]) & self.home[y]
+        ok &= 100 * np.minimum(self.n[x], self.n[y]) >= percent * np.maximum(self.n[x], self.n[y])
+        x, y, at = x[ok], y[ok], np.flatnonzero(ok)
+        need = -(-percent * (self.n[x] + self.n[y]) // (100 + percent))
+        # shingles before the shared one, the shared one, and those after it
+        i, j = self.place[x].astype(np.int64), self.place[y].astype(np.int64)
+        ok = np.minimum(i, j) + 1 + np.minimum(self.n[x] - i, self.n[y] - j) - 1 >= need
+        x, y, at, need = x[ok], y[ok], at[ok], need[ok]
+        words = BITS // 64
+        keep = []
+        for lo in range(0, len(x), 16384):
+            a, b = self.signature[x[lo : lo + 16384]], self.signature[y[lo : lo + 16384]]
+            apart = np.bitwise_count(a[:, :words] ^ b[:, :words]).sum(axis=1, dtype=np.int64)
+            ok = (self.n[x[lo : lo + 16384]] + self.n[y[lo : lo + 16384]] - apart) // 2 >= need[lo : lo + 16384]
+            for k in range(1, 1 + len(ORDERS)):
+                ok &= (a[:, k * words : (k + 1) * words] & b[:, k * words : (k + 1) * words]).any(axis=1)
+            keep.append(ok)
+        return at[np.concatenate(keep)] if keep else at
+
+    def pairs(self, hi: int, percent: int) -> Iterator[np.ndarray]:
+        """Pairs of a row whose rank is below hi with rows after it in its bucket."""
+        if not len(self.token):
+            return
+        start = np.flatnonzero(np.concatenate([[True], (self.token[1:] != self.token[:-1]) | (self.block[1:] != self.block[:-1])]))
+        size = np.diff(np.append(start, len(self.token)))
+        centres = np.add.reduceat((self.rank < hi).astype(np.int64), start)
+        # buckets whose rows are connected already hold nothing to find
+        divided = np.maximum.reduceat(self.root, start) != np.minimum.reduceat(self.root, start)
+        start, size, centres = start[divided], size[divided], centres[divided]
+        for r in range(int(centres.max(initial=0))):
+            wide = (centres > r) & (size > r + 1)
+            at, left = start[wide] + r, size[wide] - r - 1
+            x = np.repeat(at, left)
+            y = np.arange(len(x)) - np.repeat(np.cumsum(left) - left, left) + x + 1
+            found = self.may_link(x, y, percent)
+            if len(found):
+                a, b = self.cls[x[found]], self.cls[y[found]]
+                yield np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+
+
+def _pairs(hi: int, percent: int):  # noqa: ANN202
+    """Pairs that may link, from rows in order by token and block. A task holds only what blocks of about ROWS rows hold."""
+
+    def complete(held: list[pa.RecordBatch], *, last: bool) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
+        if last:
+            return held, []
+        table = pa.Table.from_batches(held)
+        token, block = table.column("token").to_numpy(), table.column("block").to_numpy()
+        end = int(np.flatnonzero((token != token[-1]) | (block != block[-1]))[-1]) + 1 if (token[0], block[0]) != (token[-1], block[-1]) else 0
+        return table.slice(0, end).to_batches(), table.slice(end).to_batches()
+
+    def send(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        out = np.unique(np.concatenate(found), axis=0)
+        for i in range(0, len(out), 65536):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[i : i + 65536, j])) for j in (0, 1)], names=["a", "b"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
-        if not parts:
-            return
-        token, cls, n, doc, root = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((cls, doc, token))
-        token, cls, n, root = token[order], cls[order], n[order].astype(np.int64), root[order]
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        size = np.diff(np.append(start, len(token)))
-        held: list[np.ndarray] = []
-        count = 0
-        for rank in range(lo, min(hi, int(size.max()))):
-            wide = size > rank + 1
-            at, left = start[wide] + rank, size[wide] - rank - 1
-            centre = np.repeat(at, left)
-            other = np.arange(len(centre)) - np.repeat(np.cumsum(left) - left, left) + centre + 1
-            ok = (root[centre] != root[other]) & (100 * np.minimum(n[centre], n[other]) >= percent * np.maximum(n[centre], n[other]))
-            held.append(np.unique(np.stack([np.minimum(cls[centre[ok]], cls[other[ok]]), np.maximum(cls[centre[ok]], cls[other[ok]])], axis=1), axis=0))
-            count += len(held[-1])
-            if count > HELD:
-                held, count = [np.unique(np.concatenate(held), axis=0)], 0
+        held: list[pa.RecordBatch] = []
+        rows, found, count = 0, [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= ROWS:
+                now, held = complete(held, last=False)
+                rows = sum(x.num_rows for x in held)
+                if now:
+                    for x in _Bucket(now).pairs(hi, percent):
+                        found.append(x)
+                        count += len(x)
+                        if count > HELD:
+                            found, count = [np.unique(np.concatenate(found), axis=0)], 0
         if held:
-            out = np.unique(np.concatenate(held), axis=0)
-            for i in range(0, len(out), 65536):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[i : i + 65536, j])) for j in (0, 1)], names=["a", "b"])
+            found += _Bucket(complete(held, last=True)[0]).pairs(hi, percent)
+        if found:
+            yield from send(found)
 
     return pairs
 
 
 def _verify(percent: int):  # noqa: ANN202
-    def prefix(x: np.ndarray, salt: int) -> np.ndarray:
-        key = mix(x ^ U(salt))
-        n = int(prefix_length(len(x), percent))
-        return key if n >= len(x) else key[np.argpartition(key, n - 1)[:n]]
-
     def linked(x: np.ndarray, y: np.ndarray) -> bool:
-        least = min(int(shared_needed(len(x), percent)), int(shared_needed(len(y), percent)))
-        for salt in ORDERS[1:]:
-            if len(np.intersect1d(prefix(x, salt), prefix(y, salt), assume_unique=True)) < least:
-                return False
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (len(x) + len(y) - both)
 
@@ -409,32 +525,61 @@ def _passing(met: DataFrame, percent: int, sizes: DataFrame) -> DataFrame:
     return sizes.join(hits, "class").where(F.col("hits") >= F.least(a, 1 + F.floor(a / 10))).drop("hits")
 
 
-def link_classes(sets: DataFrame, passing: DataFrame, percent: int, sketch: Broadcast) -> DataFrame:
-    """(class, root) of all classes with links. sets: class, shingles, n, doc; passing: the classes that may have links."""
+def _near_roots(links: DataFrame) -> DataFrame:
+    """(class, root): classes with one root are connected. Two steps along the links, so a root need not be the least of all."""
+    both = links.select(F.col("a").alias("class"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("to")))
+    one = both.groupBy("class").agg(F.least(F.min("to"), F.col("class")).alias("root"))
+    return both.join(one.withColumnRenamed("class", "to"), "to").groupBy("class").agg(F.min("root").alias("root"))
+
+
+def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scratch) -> DataFrame:
+    """(class, root) of all classes with links. sets: class, shingles, n and signature of the classes that may have links."""
     spark = sets.sparkSession
     parts = partitions(spark)
-    buckets = sets.mapInArrow(_bucket_rows(percent, sketch), "token bigint, class bigint, n int, doc bigint").join(passing, "class")
-    crowds = buckets.groupBy("token").agg(F.count("*").alias("members")).where("members > 1").select("token")
-    members = cut(buckets.join(crowds, "token"))
-    shingles = sets.select("class", "shingles")
-    links, roots = None, members.select("class", F.col("class").alias("root")).limit(0)
+    rows = scratch.store(sets.select("class", "shingles").mapInArrow(_bucket_rows(percent, sketch), BUCKET_DDL))
+    crowds = rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    # classes are hashes, so a class has about the same rank in each of its buckets
+    rank = F.floor((F.col("class") / F.lit(2.0**64) + 0.5) * F.col("m"))
+    members = scratch.store(rows.join(crowds, "token").select("token", "class", "place", "m", F.least(rank, F.col("m") - 1).alias("rank")))
+    scratch.drop(rows)
+    info = sets.select("class", "n", "signature")
+    top = members.agg(F.max("m")).first()[0] or 0
+    links, roots = None, None
     lo, hi = 0, 1
-    while True:
-        rooted = members.join(roots, "class", "left").select("token", "class", "n", "doc", F.coalesce("root", "class").alias("root"))
-        if lo:
-            open_tokens = rooted.groupBy("token").agg(F.count("*").alias("c"), F.min("root").alias("x"), F.max("root").alias("y")).where((F.col("c") > lo + 1) & (F.col("x") != F.col("y"))).select("token")
-            rooted = rooted.join(open_tokens, "token", "left_semi")
-        rooted = cut(rooted)
-        if rooted.isEmpty():
-            break
-        # a written table tells the planner its size: few pairs need no shuffle of the sets
-        pairs = stored(rooted.repartition(parts, "token").mapInArrow(_pairs(lo, hi, percent), PAIR_DDL).distinct(), "pairs")
+    while lo < top:
+        still = members.where(F.col("rank") >= lo).join(info, "class")
+        still = still.withColumn("root", F.col("class")) if roots is None else still.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        blocks = F.ceil(F.col("m") / F.lit(ROWS))
+        own = F.pmod(F.xxhash64("class"), blocks)
+        every = F.when((F.col("rank") < hi) & (blocks > 1), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(own))
+        dealt = still.withColumn("own", own).withColumn("block", F.explode(every)).withColumn("home", F.col("own") == F.col("block"))
+        dealt = dealt.select("token", "block", "rank", "class", "n", "place", "root", "home", "signature").repartition(parts, "token", "block").sortWithinPartitions("token", "block")
+        pairs = scratch.store(dealt.mapInArrow(_pairs(hi, percent), PAIR_DDL).distinct())
+        # only sets of some pair leave their place: the others are kept back by a bitmap of fixed size
+        needed = _marks(pairs.select(F.explode(F.array("a", "b")).alias("key")))
+        shingles = sets.select("class", "shingles", F.pmod(F.xxhash64("class"), F.lit(MARKS)).alias("bit")).mapInArrow(_marked(needed), "class bigint, shingles binary")
         both = pairs.join(shingles.withColumnsRenamed({"class": "a", "shingles": "x"}), "a").join(shingles.withColumnsRenamed({"class": "b", "shingles": "y"}), "b").select("a", "b", "x", "y")
         found = both.mapInArrow(_verify(percent), PAIR_DDL)
-        links = cut(found if links is None else links.unionByName(found))
-        roots = cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("class"), "root"))
-        lo, hi = hi, hi * 8
-    return roots
+        before = links
+        links = scratch.store(found if links is None else links.unionByName(found))
+        scratch.drop(pairs, before)
+        before, roots = roots, scratch.store(_near_roots(links)) if hi < top else None
+        scratch.drop(before)
+        lo, hi = hi, hi * 16
+    scratch.drop(members)
+    if links is None:
+        return sets.select("class", F.col("class").alias("root")).limit(0)
+    return components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("class"), "root")
+
+
+def _marked(marks: np.ndarray):  # noqa: ANN202
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(2).to_numpy()
+            some = batch.filter(pa.array((marks[bit >> 6] >> (bit & 63)) & 1 == 1))
+            yield pa.RecordBatch.from_arrays(some.columns[:2], names=["class", "shingles"])
+
+    return keep
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
@@ -443,29 +588,37 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Returns one row for each row of `docs`: the id, n_shingles and component_id,
     the smallest id that links reach. Words are lower-cased (A-Z). A text of
     fewer than `size` words has one shingle, all its words; a null or blank text
-    has none and links to nothing, so its component is its own id. Ids are
-    integers; rows without an id take part, and give no component its name
-    unless it has no other. Other columns of `docs` are not read.
+    has none and links to nothing, so its component is its own id. Ids must be
+    integers (else ValueError); rows without an id take part, and give no
+    component its name unless it has no other. Other columns of `docs` are not
+    read.
     """
     spark = docs.sparkSession
-    parts = partitions(spark)
+    if docs.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"{id_col} must be an integer")
+    parts, buckets = partitions(spark), bucket_count(docs)
+    scratch = Scratch(spark, "jaccard")
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = keyed(docs, id_col, text_col).select("key", "doc", "text")
-    met = cut(rows.mapInArrow(_send_documents(parts * 4, size, percent), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL))
+    meet = lambda sent: sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_receive, MET_DDL)
+    met = scratch.store(meet(rows.select("key", "doc", "text").mapInArrow(_send_documents(buckets, size, percent), MEET_DDL)))
     every = met.where(F.col("kind") == CLASSES).select("key", "doc", "class", "n")
     classes = every.where("n > 0").groupBy("class").agg(F.min(F.struct("doc", "key")).alias("first"), F.first("n").alias("n")).select("class", "n", F.col("first.doc").alias("doc"), F.col("first.key").alias("key"))
-    passing = cut(_passing(met, percent, classes).select("key", "class"))
-    marked = rows.withColumn("bit", F.pmod(F.xxhash64("key"), F.lit(MARKS)))
+    passing = scratch.store(_passing(met, percent, classes).select("key", "class"))
+    marked = rows.select("key", "doc", "text", F.pmod(F.xxhash64("key"), F.lit(MARKS)).alias("bit"))
     near = marked.mapInArrow(_pack_sets(size, _marks(passing)), "key bigint, doc bigint, class bigint, shingles binary, n int")
-    sets = cut(near.join(passing, ["key", "class"], "left_semi").select("class", "shingles", "n", "doc"))
-    sizes = sets.select("class", "n", "doc").distinct()
+    sets = scratch.store(near.join(passing, ["key", "class"], "left_semi").select("class", "shingles", "n").dropDuplicates(["class"]))
+    scratch.drop(passing)
+    sizes = sets.select("class", "n")
     for salt in ORDERS[1:]:
-        again = sets.select("class", "shingles").mapInArrow(_send_sets(parts * 4, salt, percent), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL)
-        sizes = _passing(again, percent, sizes)
+        sizes = _passing(meet(sets.select("class", "shingles").mapInArrow(_send_sets(buckets, salt, percent), MEET_DDL)), percent, sizes)
     sketch = spark.sparkContext.broadcast(frequency_sketch(sets))
-    again = sets.select("class", "shingles").mapInArrow(_send_rare(parts * 4, percent, sketch), MEET_DDL).repartition(parts, "bucket").mapInArrow(_receive, MET_DDL)
-    sizes = cut(_passing(again, percent, sizes))
-    roots = link_classes(sets, sizes.select("class"), percent, sketch)
+    sizes = scratch.store(_passing(meet(sets.select("class", "shingles").mapInArrow(_send_rare(buckets, percent, sketch), MEET_DDL)), percent, sizes))
+    signed = sets.join(sizes.select("class"), "class", "left_semi").mapInArrow(_sign(percent), "class bigint, shingles binary, n int, signature binary")
+    linkable = scratch.store(signed)
+    scratch.drop(sets, sizes)
+    roots = scratch.store(link_classes(linkable, percent, sketch, scratch))
+    scratch.drop(linkable)
     named = roots.join(classes.select("class", "doc"), "class").groupBy("root").agg(F.min("doc").alias("component_id"))
     linked = roots.join(named, "root").select("class", "component_id")
     own = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "doc").alias("component_id"))

@@ -33,6 +33,8 @@ SPAN = np.dtype([("key", "<i8"), ("s", "<i4"), ("e", "<i4"), ("weight", "u1")])
 CROWD = 8
 #: Records that a task holds before it sends them.
 HELD = 1 << 20
+#: Bytes of input (as Spark estimates them) that a bucket stands for.
+BUCKET_BYTES = 64 << 20
 MULTI, MIXED, SELF = 1, 2, 4
 PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("payload", pa.binary())])
 SETTLED = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("weight", pa.int8())])
@@ -64,6 +66,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of an exchange: a task sorts its rows by bucket and holds one at a time, so a bucket stands for a bounded share of the input."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # Spark takes a table that it knows nothing of for endless
+    return max(4 * partitions(docs.sparkSession), min(size // BUCKET_BYTES, 1 << 20) if size < 1 << 60 else 0)
+
+
 def runs(sums: np.ndarray, off: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
     """(anchor, run hash, document number, first window, number of windows) of each run.
 

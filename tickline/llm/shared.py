@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
+    """The folder that driver and executors share, as the session names it. Only a local master may go without one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickline-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tickline-"))
     return sc.getCheckpointDir()
 
 
@@ -32,3 +35,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class Scratch:
+    """Tables of one run in the shared folder, each of which goes once nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder, self.count = spark, new_folder(spark, name), 0
+        self.paths: dict[int, str] = {}
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """The same rows, written once; the planner knows the table's size."""
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        self.held = [*getattr(self, "held", []), out]
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Deletes tables that no later plan reads."""
+        for df in tables:
+            if df is not None and (path := self.paths.pop(id(df), None)):
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
