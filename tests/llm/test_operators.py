@@ -171,9 +171,10 @@ def test_signatures_lose_no_link():
     token, row = rare_first(g, d, edge, np.zeros(1 << 10, np.uint8), n - overlap_needed(n, 85) + 1)
     place = np.arange(len(row)) - np.searchsorted(row, row)
     k = len(row)
+    none = pa.array([[]] * k, pa.list_(pa.int64()))
     batch = pa.RecordBatch.from_arrays(
-        [pa.array(token.view(np.int64)), pa.array(np.zeros(k, np.int64)), pa.array(row), pa.array(row), pa.array(n[row].astype(np.int32)), pa.array(place), pa.array(row), pa.array(np.ones(k, bool)), pa.array([raw[r].tobytes() for r in row], pa.binary())],
-        names=["token", "block", "rank", "class", "n", "place", "root", "home", "signature"],
+        [pa.array(token.view(np.int64)), pa.array(np.zeros(k, np.int64)), pa.array(row), pa.array(row), pa.array(n[row].astype(np.int32)), pa.array(place), pa.array(row), pa.array(np.ones(k, bool)), pa.array([raw[r].tobytes() for r in row], pa.binary()), none],
+        names=["token", "block", "rank", "class", "n", "place", "root", "home", "signature", "firsts"],
     )
     pairs = {tuple(x) for part in _Bucket([batch]).pairs(1 << 30, 85) for x in part.tolist()}
     linked = {(a, b) for a in range(len(sets)) for b in range(a) if 100 * (c := len(np.intersect1d(sets[a], sets[b]))) >= 85 * (len(sets[a]) + len(sets[b]) - c)}

@@ -54,6 +54,9 @@ BITS = 512
 PARITY = 0x8CB92BA72F3D8DD7
 #: Rows of buckets that a task compares at a time. A bucket of more members is dealt out in blocks.
 ROWS = 1 << 15
+#: Shingles of each set that tell which of several buckets sends a pair; what stands for none, and what is above all.
+FIRSTS = 4
+NONE, OVER = -(1 << 63), (1 << 63) - 1
 TOKENS, HITS, CLASSES = 0, 1, 2
 MEET_DDL = "bucket int, kind tinyint, payload binary"
 MET_DDL = "kind tinyint, class bigint, n int, hits int, key bigint, doc bigint"
@@ -418,10 +421,20 @@ class _Bucket:
         order = np.lexsort((column["class"], column["rank"], column["block"], column["token"]))
         self.token, self.block, self.rank, self.cls, self.n, self.place, self.root, self.home = (v[order] for v in column.values())
         self.n = self.n.astype(np.int64)
+        firsts = table.column("firsts").combine_chunks()
+        firsts = firsts if isinstance(firsts, pa.Array) else pa.concat_arrays(firsts.chunks)
+        size = np.diff(np.asarray(firsts.offsets))
+        self.firsts, at = np.full((len(order), FIRSTS), NONE), owner(np.concatenate([[0], np.cumsum(size)]))
+        self.firsts[at, np.arange(len(at)) - (np.cumsum(size) - size)[at]] = firsts.flatten().to_numpy()
+        self.firsts = self.firsts[order]
         self.signature = _sets(pa.concat_arrays(table.column("signature").chunks))[0].reshape(len(order), -1)[order]
 
     def may_link(self, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-        """Of the pairs of rows, those that no test can rule out."""
+        """Of the pairs of rows, those that no test can rule out and no other bucket has.
+
+        Where two sets have some of their first shingles in common, only the
+        bucket of the least of these sends the pair.
+        """
         ok = (self.root[x] != self.root[y]) & (self.cls[x] != self.cls[y]) & self.home[y]
         ok &= 100 * np.minimum(self.n[x], self.n[y]) >= percent * np.maximum(self.n[x], self.n[y])
         x, y, at = x[ok], y[ok], np.flatnonzero(ok)
@@ -438,7 +451,9 @@ class _Bucket:
             ok = (self.n[x[lo : lo + 16384]] + self.n[y[lo : lo + 16384]] - apart) // 2 >= need[lo : lo + 16384]
             for k in range(1, 1 + len(ORDERS)):
                 ok &= (a[:, k * words : (k + 1) * words] & b[:, k * words : (k + 1) * words]).any(axis=1)
-            keep.append(ok)
+            a, b = self.firsts[x[lo : lo + 16384]][:, :, None], self.firsts[y[lo : lo + 16384]][:, None, :]
+            least = np.where(((a == b) & (a != NONE)).any(axis=2), a[:, :, 0], OVER).min(axis=1)
+            keep.append(ok & ((least == OVER) | (least == self.token[x[lo : lo + 16384]])))
         return at[np.concatenate(keep)] if keep else at
 
     def pairs(self, hi: int, percent: int) -> Iterator[np.ndarray]:
@@ -526,10 +541,14 @@ def _passing(met: DataFrame, percent: int, sizes: DataFrame) -> DataFrame:
 
 
 def _near_roots(links: DataFrame) -> DataFrame:
-    """(class, root): classes with one root are connected. Two steps along the links, so a root need not be the least of all."""
+    """(class, root): classes with one root are connected. A few steps along the links, so connected ones may have several roots."""
     both = links.select(F.col("a").alias("class"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("to")))
-    one = both.groupBy("class").agg(F.least(F.min("to"), F.col("class")).alias("root"))
-    return both.join(one.withColumnRenamed("class", "to"), "to").groupBy("class").agg(F.min("root").alias("root"))
+    roots = both.groupBy("class").agg(F.least(F.min("to"), F.col("class")).alias("root"))
+    for _ in range(2):
+        near = both.join(roots.withColumnRenamed("class", "to"), "to").groupBy("class").agg(F.min("root").alias("root"))
+        jump = near.select(F.col("class").alias("root"), F.col("root").alias("further"))
+        roots = near.join(jump, "root").select("class", F.least("root", "further").alias("root"))
+    return roots
 
 
 def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scratch) -> DataFrame:
@@ -542,7 +561,9 @@ def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scra
     rank = F.floor((F.col("class") / F.lit(2.0**64) + 0.5) * F.col("m"))
     members = scratch.store(rows.join(crowds, "token").select("token", "class", "place", "m", F.least(rank, F.col("m") - 1).alias("rank")))
     scratch.drop(rows)
-    info = sets.select("class", "n", "signature")
+    # the first few shingles that a class shares with any other: see _Bucket.may_link
+    firsts = members.groupBy("class").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRSTS).alias("firsts"))
+    info = scratch.store(sets.select("class", "n", "signature").join(firsts, "class"))
     top = members.agg(F.max("m")).first()[0] or 0
     links, roots = None, None
     lo, hi = 0, 1
@@ -553,7 +574,7 @@ def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scra
         own = F.pmod(F.xxhash64("class"), blocks)
         every = F.when((F.col("rank") < hi) & (blocks > 1), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(own))
         dealt = still.withColumn("own", own).withColumn("block", F.explode(every)).withColumn("home", F.col("own") == F.col("block"))
-        dealt = dealt.select("token", "block", "rank", "class", "n", "place", "root", "home", "signature").repartition(parts, "token", "block").sortWithinPartitions("token", "block")
+        dealt = dealt.select("token", "block", "rank", "class", "n", "place", "root", "home", "signature", "firsts").repartition(parts, "token", "block").sortWithinPartitions("token", "block")
         pairs = scratch.store(dealt.mapInArrow(_pairs(hi, percent), PAIR_DDL).distinct())
         # only sets of some pair leave their place: the others are kept back by a bitmap of fixed size
         needed = _marks(pairs.select(F.explode(F.array("a", "b")).alias("key")))
@@ -565,8 +586,8 @@ def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scra
         scratch.drop(pairs, before)
         before, roots = roots, scratch.store(_near_roots(links)) if hi < top else None
         scratch.drop(before)
-        lo, hi = hi, hi * 16
-    scratch.drop(members)
+        lo, hi = hi, hi * 8
+    scratch.drop(members, info)
     if links is None:
         return sets.select("class", F.col("class").alias("root")).limit(0)
     return components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("class"), "root")
@@ -607,7 +628,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     passing = scratch.store(_passing(met, percent, classes).select("key", "class"))
     marked = rows.select("key", "doc", "text", F.pmod(F.xxhash64("key"), F.lit(MARKS)).alias("bit"))
     near = marked.mapInArrow(_pack_sets(size, _marks(passing)), "key bigint, doc bigint, class bigint, shingles binary, n int")
-    sets = scratch.store(near.join(passing, ["key", "class"], "left_semi").select("class", "shingles", "n").dropDuplicates(["class"]))
+    sets = scratch.store(near.join(passing, ["key", "class"], "left_semi").dropDuplicates(["key", "class"]).select("class", "shingles", "n"))
     scratch.drop(passing)
     sizes = sets.select("class", "n")
     for salt in ORDERS[1:]:

@@ -48,7 +48,8 @@ class Scratch:
         """The same rows, written once; the planner knows the table's size."""
         self.count += 1
         path = f"{self.folder}/{self.count}"
-        df.write.parquet(path)
+        # a writer holds a row group in memory
+        df.write.option("parquet.block.size", 16 << 20).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         self.held = [*getattr(self, "held", []), out]
