@@ -76,9 +76,14 @@ def brute_bytes(rows, length=50):
     return out
 
 
-def test_suffix_dedup(spark, docs):
+@pytest.mark.parametrize("hot", [None, 0])
+def test_suffix_dedup(spark, docs, monkeypatch, hot):
+    """Fragments dealt out by anchor, and all of them by the longer anchor."""
+    from tickline.llm import suffix_dedup
     from tickline.llm.suffix_dedup import dedup_bytes
 
+    if hot is not None:
+        monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in dedup_bytes(docs).collect()}
     assert got == brute_bytes(corpus())
 

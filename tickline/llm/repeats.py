@@ -55,7 +55,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     integral = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
     c = F.col(id_col)
     if integral and docs.groupBy(c.alias("id")).count().where("count > 1 or id is null").isEmpty():
-        key = doc = c.cast("bigint")
+        # a key that cannot be null spares joins a filter, so that they share one exchange of the texts
+        key = doc = F.coalesce(c.cast("bigint"), F.lit(NO_ID))
     else:
         key = F.xxhash64(c, F.col(text_col))
         doc = F.coalesce(c.cast("bigint"), F.lit(NO_ID)) if integral else key
@@ -296,22 +297,29 @@ def _settled(kind: int, x: np.ndarray) -> Iterator[pa.RecordBatch]:
 def exchange(sent: DataFrame, *, smaller: bool) -> DataFrame:
     """Deals the packed records out by anchor and settles them: COVERED and WANTED spans."""
 
+    def settled(records: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if records:
+            joined = {name: np.concatenate([x[name] for x in records]) for name in RECORD.names}
+            _, covered, wanted = settle(joined, smaller=smaller, last=True)
+            yield from _settled(COVERED, merged(covered))
+            yield from _settled(WANTED, wanted)
+
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records = []
+        records, now = [], None
         for batch in batches:
-            for kind, payload in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for bucket, kind, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if bucket != now:
+                    yield from settled(records)
+                    records, now = [], bucket
                 raw = payload.as_buffer()
                 if kind == RECORDS:
                     records.append(_decode(raw))
                 else:
                     yield from _settled(kind, _read_spans(raw))
-        if records:
-            joined = {name: np.concatenate([x[name] for x in records]) for name in RECORD.names}
-            _, covered, wanted = settle(joined, smaller=smaller, last=True)
-            yield from _settled(COVERED, merged(covered))
-            yield from _settled(WANTED, wanted)
+        yield from settled(records)
 
-    return sent.repartition(partitions(sent.sparkSession), "bucket").mapInArrow(receive, SETTLED_DDL)
+    # in order by bucket: only one bucket's records are held at a time
+    return sent.repartition(partitions(sent.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(receive, SETTLED_DDL)
 
 
 def asked(column: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, ...]:

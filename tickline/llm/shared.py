@@ -42,7 +42,6 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.folder, self.count = spark, new_folder(spark, name), 0
-        self.paths: dict[int, str] = {}
 
     def store(self, df: DataFrame) -> DataFrame:
         """The same rows, written once; the planner knows the table's size."""
@@ -51,13 +50,12 @@ class Scratch:
         # a writer holds a row group in memory
         df.write.option("parquet.block.size", 16 << 20).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        self.held = [*getattr(self, "held", []), out]
+        out.scratch_path = path
         return out
 
     def drop(self, *tables: DataFrame | None) -> None:
         """Deletes tables that no later plan reads."""
         for df in tables:
-            if df is not None and (path := self.paths.pop(id(df), None)):
-                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            if df is not None:
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
                 at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickline.llm import repeats
 from tickline.llm.repeats import COVERED, HELD, MULTI, PACKED_DDL, WANTED, Sender
-from tickline.llm.shared import cut
+from tickline.llm.shared import Scratch
 from tickline.llm.text import chunks, gram_hash, prefix_sums, word_hash, words
 
 #: Words of the k-grams that anchor a window of 35 words.
@@ -75,8 +75,8 @@ def _boundaries(buckets: int, window: int):  # noqa: ANN202
 
 def duplicate_spans(texts: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
     """key, s, e: windows [s, e) of the text `key` that start elsewhere too. dealt: the same texts, by key."""
-    n = repeats.partitions(texts.sparkSession) * 4
-    first = cut(repeats.exchange(texts.select("key", "text").mapInArrow(_parse(n, window), PACKED_DDL), smaller=False))
+    n = repeats.bucket_count(texts)
+    first = Scratch(texts.sparkSession, "windows").store(repeats.exchange(texts.select("key", "text").mapInArrow(_parse(n, window), PACKED_DDL), smaller=False))
     asked = first.where(F.col("kind") == WANTED).groupBy("key").agg(F.collect_list(F.struct("s", "e", "weight")).alias("asked"))
     with_text = dealt.join(asked.hint("shuffle_hash"), "key").select("key", "text", "asked", "id")
     second = repeats.exchange(with_text.mapInArrow(_boundaries(n, window), PACKED_DDL), smaller=False)
