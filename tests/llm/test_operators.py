@@ -43,9 +43,43 @@ def docs(spark):
     return spark.createDataFrame(corpus(), DOC).repartition(3)
 
 
-def test_substring_dedup(spark, docs):
+def test_factors():
+    """Factors rebuild their blocks, each is as long as any match, and repeated windows are those of brute force."""
+    from tickline.llm.factors import factors, repeated_windows
+
+    rng = np.random.default_rng(1)
+    for window in (1, 3, 8):
+        blocks = [rng.integers(0, 3, rng.integers(0, 40)) for _ in range(12)] + [np.zeros(30, np.int64)]
+        blocks[5] = np.concatenate([blocks[4], blocks[2]])
+        f = factors(blocks, window)
+        texts = [b.tolist() for b in blocks]
+        starts = [(i, p) for i, t in enumerate(texts) for p in range(len(t) - window + 1)]
+
+        def agree(i, p, j, q):
+            n = 0
+            while p + n < len(texts[i]) and q + n < len(texts[j]) and texts[i][p + n] == texts[j][q + n]:
+                n += 1
+            return n
+
+        end = {}
+        for i, p, j, q, n in zip(*(x.tolist() for x in (f.block, f.place, f.source, f.source_place, f.length)), strict=True):
+            assert end.get(i, 0) == p
+            assert n == max([agree(i, p, *o) for o in starts if o != (i, p)], default=0)
+            assert n == 0 or (texts[i][p : p + n] == texts[j][q : q + n] and (i, p) != (j, q))
+            end[i] = p + max(1, n)
+        assert all(end.get(i, 0) >= len(t) - window + 1 for i, t in enumerate(texts))
+        count = collections.Counter(tuple(texts[i][p : p + window]) for i, p in starts)
+        for t, hit in zip(texts, repeated_windows(blocks, window), strict=True):
+            assert hit.tolist() == [count[tuple(t[p : p + window])] > 1 for p in range(len(t) - window + 1)]
+
+
+@pytest.mark.parametrize("hot", [None, 0])
+def test_substring_dedup(spark, docs, monkeypatch, hot):
+    from tickline.llm import fragments
     from tickline.llm.substring_dedup import dedup_substrings
 
+    if hot is not None:
+        monkeypatch.setattr(fragments, "HOT_BYTES", hot)
     rows, window = corpus(), 35
     tokens = {r[0]: (r[1] or "").encode().split() for r in rows}
     count = collections.Counter(tuple(t[j : j + window]) for t in tokens.values() for j in range(len(t) - window + 1))
@@ -79,11 +113,11 @@ def brute_bytes(rows, length=50):
 @pytest.mark.parametrize("hot", [None, 0])
 def test_suffix_dedup(spark, docs, monkeypatch, hot):
     """Fragments dealt out by anchor, and all of them by the longer anchor."""
-    from tickline.llm import suffix_dedup
+    from tickline.llm import fragments
     from tickline.llm.suffix_dedup import dedup_bytes
 
     if hot is not None:
-        monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+        monkeypatch.setattr(fragments, "HOT_BYTES", hot)
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in dedup_bytes(docs).collect()}
     assert got == brute_bytes(corpus())
 

@@ -215,14 +215,14 @@ def _widened(raw: np.ndarray, n: int, width: int) -> np.ndarray:
 
 #: Count, least document, and the bytes of m, rh, doc, key, s, n and flag in each record.
 HEAD = struct.Struct("<iq7B")
-#: Columns of the anchor and of the content that travel. With the bucket they are 80 bits and more.
-HASH_BYTES = 5
+#: Bytes of the anchor that travel; the bucket tells more of it. The hash of the content, which decides, travels whole.
+ANCHOR_HASH_BYTES = 5
 
 
 def _encode(r: dict[str, np.ndarray]) -> bytes:
     """Records column by column, each in as few bytes as its values need. The key is left out where it is the document."""
     least = int(r["doc"].min())
-    columns = [_narrow(r["m"] & U((1 << 8 * HASH_BYTES) - 1)), _narrow(r["rh"] & U((1 << 8 * HASH_BYTES) - 1)), _narrow((r["doc"] - least).view(np.uint64))]
+    columns = [_narrow(r["m"] & U((1 << 8 * ANCHOR_HASH_BYTES) - 1)), _narrow(r["rh"]), _narrow((r["doc"] - least).view(np.uint64))]
     columns += [(0, b"") if np.array_equal(r["key"], r["doc"]) else (8, r["key"].tobytes())]
     columns += [_narrow(r["s"]), _narrow(r["n"]), _narrow(r["flag"])]
     return HEAD.pack(len(r["m"]), least, *(w for w, _ in columns)) + b"".join(x for _, x in columns)

@@ -1,10 +1,11 @@
-"""Substring deduplication by anchored hashing of windows.
-
-This stands in for relative Lempel-Ziv parsing: no greedy factors are computed.
-The blocks are the runs of windows with one anchor (see `repeats`). A run found
-whole in another block by its hash is covered. Where two blocks share an anchor
-but differ somewhere, each window of the run is hashed, and windows that occur
-more than once are duplicate spans.
+"""Substring deduplication by relative Lempel-Ziv parsing.
+
+The reference is the corpus itself, in blocks: runs of windows with one anchor
+(see `repeats`), indexed by it. Blocks that agree as a whole are one factor, found
+by hash in the exchange. The texts of all other blocks whose anchor occurs again
+meet there; each is factored greedily against all of them (see `factors`). A
+factor of a window or more is a duplicate span, and windows that cross the end of
+a factor are looked up one by one.
 """
 
 from __future__ import annotations
@@ -19,12 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickline.llm import repeats
-from tickline.llm.repeats import COVERED, HELD, MULTI, PACKED_DDL, WANTED, Sender
+from tickline.llm.factors import repeated_windows
+from tickline.llm.fragments import FRAGMENT_DDL, Places, meet
+from tickline.llm.repeats import COVERED, HELD, PACKED_DDL, WANTED, Sender
 from tickline.llm.shared import Scratch
-from tickline.llm.text import chunks, gram_hash, prefix_sums, word_hash, words
+from tickline.llm.text import chunks, gram_hash, prefix_sums, slide_min, word_hash, words
 
 #: Words of the k-grams that anchor a window of 35 words.
 ANCHOR_WORDS = 18
+#: Bytes of blocks that are factored together.
+TOGETHER_BYTES = 1 << 20
 
 
 def _anchor(window: int) -> int:
@@ -54,23 +59,75 @@ def _parse(buckets: int, window: int):  # noqa: ANN202
     return parse
 
 
-def _boundaries(buckets: int, window: int):  # noqa: ANN202
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Sender(buckets, smaller=False)
+def _cut_blocks(window: int):  # noqa: ANN202
+    """The texts of the runs asked for, each with its anchor."""
+    k = _anchor(window)
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column(0).to_numpy(zero_copy_only=False)
-            asked = batch.column(2)
-            for lo, hi, sums, off in _hashed(batch.column(1)):
-                rows, s, e, weight = repeats.asked(asked, lo, hi)
-                at, which = repeats.expand(s, e)
-                start = off[rows[which]] + at
-                grams = gram_hash(sums, window)[start]
-                out.add(grams, grams, key[lo + rows[which]], key[lo + rows[which]], at, 1, np.where(weight[which] > 1, MULTI, 0))
-                if out.held > HELD:
-                    yield from out.flush()
-        yield from out.flush()
-
-    return look_up
+            for lo, hi, data, off in chunks(batch.column(1)):
+                row, s, e, _ = repeats.asked(batch.column(2), lo, hi)
+                first, last, word_off = words(data, off)
+                anchors = slide_min(gram_hash(prefix_sums(word_hash(data, first, last)), k), window - k + 1)
+                start = word_off[row] + s
+                begin, end = first[start], last[word_off[row] + e - 2 + window]
+                raw = data.tobytes()
+                for i in range(0, len(row), 16384):
+                    at = slice(i, i + 16384)
+                    pieces = [raw[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
+                    keys = pa.array(key[lo + row[at]])
+                    yield pa.RecordBatch.from_arrays([pa.array(anchors[start[at]].view(np.int64)), keys, keys, pa.array(s[at].astype(np.int32)), pa.array(pieces, pa.binary())], names=["anchor", "key", "doc", "s", "piece"])
+
+    return cut_out
+
+
+def _items(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all pieces, and each piece's range of them."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+    first, last, word_off = words(data, off)
+    return word_hash(data, first, last), word_off
+
+
+def _settle(window: int):  # noqa: ANN202
+    def settle(held: dict[bytes, Places]) -> list[tuple[int, int, int]]:
+        """Windows of a piece recur if the piece has two places, or a factor of a piece holds them."""
+        pieces = list(held)
+        h, off = _items(pieces)
+        _, item = np.unique(h, return_inverse=True)
+        spans = []
+        for piece, hit in zip(pieces, repeated_windows(np.split(item, off[1:-1]), window), strict=True):
+            places = held[piece]
+            if len(places) > 1:
+                spans += [(key, s, s + len(hit)) for key, _, s in places]
+            elif hit.any():
+                key, _, s = places[0]
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).tolist()
+                spans += [(key, s + a, s + b) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+        return spans
+
+    return settle
+
+
+def _longer(window: int):  # noqa: ANN202
+    """The longer anchor of a window is its anchor with the words beside it, on the side where the window has more of them."""
+    k = _anchor(window)
+    more = (window - k + 1) // 2
+
+    def longer(anchor: int, s: int, piece: bytes) -> list[tuple[int, int, bytes]]:
+        data = np.frombuffer(piece, np.uint8)
+        first, last, _ = words(data, np.array([0, len(data)]))
+        sums = prefix_sums(word_hash(data, first, last))
+        at = np.flatnonzero(gram_hash(sums, k).view(np.int64) == anchor)
+        start = np.arange(len(first) - window + 1)
+        place = at[np.searchsorted(at, start)]
+        place = np.where(place - start < more, place, place - more)
+        wide = gram_hash(sums, k + more).view(np.int64)[place]
+        edge = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])).tolist()
+        return [(int(wide[a]), s + a, piece[first[a] : last[b - 2 + window]]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+    return longer
 
 
 def duplicate_spans(texts: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
@@ -78,9 +135,9 @@ def duplicate_spans(texts: DataFrame, dealt: DataFrame, window: int) -> DataFram
     n = repeats.bucket_count(texts)
     first = Scratch(texts.sparkSession, "windows").store(repeats.exchange(texts.select("key", "text").mapInArrow(_parse(n, window), PACKED_DDL), smaller=False))
     asked = first.where(F.col("kind") == WANTED).groupBy("key").agg(F.collect_list(F.struct("s", "e", "weight")).alias("asked"))
-    with_text = dealt.join(asked.hint("shuffle_hash"), "key").select("key", "text", "asked", "id")
-    second = repeats.exchange(with_text.mapInArrow(_boundaries(n, window), PACKED_DDL), smaller=False)
-    return first.unionByName(second).where(F.col("kind") == COVERED).select("key", "s", "e")
+    blocks = dealt.join(asked.hint("shuffle_hash"), "key").select("key", "text", "asked", "id").mapInArrow(_cut_blocks(window), FRAGMENT_DDL)
+    second = meet(blocks, _settle(window), _longer(window), TOGETHER_BYTES)
+    return first.where(F.col("kind") == COVERED).select("key", "s", "e").unionByName(second)
 
 
 def _remove(window: int):  # noqa: ANN202

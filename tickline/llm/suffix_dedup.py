@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tickline.llm import repeats
 from tickline.llm.bwt import repeated_intervals
+from tickline.llm.fragments import FRAGMENT_DDL, Places, meet
 from tickline.llm.repeats import COVERED, HELD, PACKED_DDL, WANTED, Sender
 from tickline.llm.shared import Scratch
 from tickline.llm.text import BYTE_VALUE, chunks, gram_hash, prefix_sums, slide_min
@@ -31,11 +32,6 @@ from tickline.llm.text import BYTE_VALUE, chunks, gram_hash, prefix_sums, slide_
 ANCHOR_BYTES = 20
 #: Bytes of fragments that one merge takes on, few enough for its arrays to stay in cache.
 MERGE_BYTES = 1 << 18
-#: Bytes of fragments with one anchor beyond which they are dealt out by a longer one.
-HOT_BYTES = 4 << 20
-FRAGMENT_DDL = "anchor bigint, key bigint, doc bigint, s int, piece binary"
-MERGED = [("route", pa.int64()), ("anchor", pa.int64()), ("key", pa.int64()), ("doc", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("piece", pa.binary())]
-MERGED_DDL = "route bigint, anchor bigint, key bigint, doc bigint, s int, e int, piece binary"
 
 
 def _anchor(length: int) -> int:
@@ -99,34 +95,26 @@ def _repeated(pieces: list[bytes], doc: np.ndarray, length: int) -> tuple[np.nda
     return which, lo - base[which], hi - base[which]
 
 
-def _longer(anchor: int, s: int, piece: bytes, length: int) -> list[tuple[int, int, bytes]]:
-    """(longer anchor, s, piece) of the parts of a fragment.
-
-    The longer anchor of a window is its anchor with the bytes beside it, on the
-    side where the window has more of them, so equal windows have equal ones.
-    """
+def _longer(length: int):  # noqa: ANN202
+    """The longer anchor of a string is its anchor with the bytes beside it, on the side where the string has more of them."""
     k = _anchor(length)
     more = (length - k + 1) // 2
-    sums = prefix_sums(BYTE_VALUE[np.frombuffer(piece, np.uint8)])
-    at = np.flatnonzero(gram_hash(sums, k).view(np.int64) == anchor)
-    window = np.arange(len(piece) - length + 1)
-    place = at[np.searchsorted(at, window)]
-    place = np.where(place - window < more, place, place - more)
-    wide = gram_hash(sums, k + more).view(np.int64)[place]
-    edge = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])).tolist()
-    return [(int(wide[a]), s + a, piece[a : b - 1 + length]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-
-
-def _merge_fragments(length: int, hot: int | None):  # noqa: ANN202
-    """Merges fragments that come in order by anchor.
-
-    At most about MERGE_BYTES of whole groups are held, and `hot` bytes of one
-    anchor: a group of more is cut by a longer anchor and sent on. Rows without
-    a piece are spans, and pass.
-    """
-    Rows = list[tuple[int, int, int]]
 
-    def settle(held: dict[bytes, Rows]) -> pa.RecordBatch:
+    def longer(anchor: int, s: int, piece: bytes) -> list[tuple[int, int, bytes]]:
+        sums = prefix_sums(BYTE_VALUE[np.frombuffer(piece, np.uint8)])
+        at = np.flatnonzero(gram_hash(sums, k).view(np.int64) == anchor)
+        window = np.arange(len(piece) - length + 1)
+        place = at[np.searchsorted(at, window)]
+        place = np.where(place - window < more, place, place - more)
+        wide = gram_hash(sums, k + more).view(np.int64)[place]
+        edge = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]])).tolist()
+        return [(int(wide[a]), s + a, piece[a : b - 1 + length]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+    return longer
+
+
+def _settle(length: int):  # noqa: ANN202
+    def settle(held: dict[bytes, Places]) -> list[tuple[int, int, int]]:
         """Equal pieces are merged once, for their smallest document; the others are covered whole."""
         least = np.array([min(doc for _, doc, _ in rows) for rows in held.values()], dtype=np.int64)
         pieces = list(held)
@@ -134,71 +122,17 @@ def _merge_fragments(length: int, hot: int | None):  # noqa: ANN202
         if len(pieces) > 1 or len(pieces[0]) > length:
             for which, lo, hi in zip(*(x.tolist() for x in _repeated(pieces, least, length)), strict=True):
                 spans += [(key, s + lo, s + hi) for key, doc, s in held[pieces[which]] if doc == least[which]]
-        key, s, e = zip(*spans, strict=True) if spans else ((), (), ())
-        return packed(route=key, key=key, s=s, e=e)
-
-    def packed(**columns) -> pa.RecordBatch:  # noqa: ANN003
-        n = len(columns["key"])
-        out = [pa.array(columns[name], t) if name in columns else pa.nulls(n, t) for name, t in MERGED]
-        return pa.RecordBatch.from_arrays(out, names=[name for name, _ in MERGED])
-
-    def onward(anchor: int, rows: list[tuple[bytes, int, int, int]]) -> pa.RecordBatch:
-        parts = [(wide, key, doc, at, part) for piece, key, doc, s in rows for wide, at, part in _longer(anchor, s, piece, length)]
-        wide, key, doc, s, piece = zip(*parts, strict=True)
-        return packed(route=wide, anchor=wide, key=key, doc=doc, s=s, piece=piece)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Rows] = {}
-        own: dict[bytes, Rows] = {}
-        size = own_size = 0
-        last, splitting, wait = None, False, []
-        for batch in batches:
-            if "e" in batch.schema.names:
-                spans = batch.filter(batch.column("piece").is_null())
-                if spans.num_rows:
-                    yield spans.select([name for name, _ in MERGED])
-                batch = batch.filter(batch.column("piece").is_valid())
-            for anchor, key, doc, s, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "doc", "s", "piece")), strict=True):
-                if anchor != last:
-                    if wait:
-                        yield onward(last, wait)
-                        wait = []
-                    held |= own
-                    size += own_size
-                    if size >= MERGE_BYTES:
-                        yield settle(held)
-                        held, size = {}, 0
-                    own, own_size, last, splitting = {}, 0, anchor, False
-                if splitting:
-                    wait.append((piece, key, doc, s))
-                    if len(wait) >= 4096:
-                        yield onward(anchor, wait)
-                        wait = []
-                    continue
-                if piece not in own:
-                    own[piece] = []
-                    own_size += len(piece)
-                own[piece].append((key, doc, s))
-                if hot is not None and own_size > hot:
-                    wait, splitting = [(p, *row) for p, rows in own.items() for row in rows], True
-                    own, own_size = {}, 0
-        if wait:
-            yield onward(last, wait)
-        held |= own
-        if held:
-            yield settle(held)
-
-    return merge
+        return spans
+
+    return settle
 
 
 def duplicate_spans(docs: DataFrame, dealt: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """key, s, e: strings starting at bytes [s, e) of the row `key` that start in a smaller document too. dealt: the same rows, by key."""
-    n = repeats.partitions(docs.sparkSession)
     first = scratch.store(repeats.exchange(docs.select("key", "doc", "text").mapInArrow(_find_runs(repeats.bucket_count(docs), length), PACKED_DDL), smaller=True))
     asked = first.where(F.col("kind") == WANTED).groupBy("key").agg(F.collect_list(F.struct("s", "e", "weight")).alias("asked"))
     pieces = dealt.join(asked.hint("shuffle_hash"), "key").select("key", "doc", "text", "asked", "id").mapInArrow(_cut_fragments(length), FRAGMENT_DDL)
-    merged = pieces.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_merge_fragments(length, HOT_BYTES), MERGED_DDL)
-    second = merged.repartition(n, "route").sortWithinPartitions("anchor").mapInArrow(_merge_fragments(length, None), MERGED_DDL).select("key", "s", "e")
+    second = meet(pieces, _settle(length), _longer(length), MERGE_BYTES)
     return first.where(F.col("kind") == COVERED).select("key", "s", "e").unionByName(second)
 
 
