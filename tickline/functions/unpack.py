@@ -8,16 +8,17 @@ works on Arrow batches. Everything after it is expressions again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickline.functions.fixed import HEADER_BYTES, KINDS, MAX_TEXT_BYTES, NULL_I32, NULL_I64, QUALITY, SH_SNAPSHOT, SH_TICK, SZ_SNAPSHOT, Kind
+from tickline.functions.fixed import BINARY_ENCODING, HEADER_BYTES, KINDS, MAX_TEXT_BYTES, NULL_I32, NULL_I64, QUALITY, SH_SNAPSHOT, SH_TICK, SZ_SNAPSHOT, Kind
 
 SQL_TYPES = {"<i4": "int", "<i8": "bigint", "<u4": "bigint"}
 _ERRORS = np.array(["", "count_exceeded", "invalid_offset", "invalid_text"], dtype=object)
+RANGE_OVERLAP = 4
 
 
 def _bodies(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -52,44 +53,47 @@ def _text(raw: np.ndarray, off: np.ndarray, odd: np.ndarray, fixed: np.ndarray,
     return values, error, start, start + keep
 
 
-def unpacked(frames: DataFrame, kind: Kind, fields: Mapping[str, tuple[int, str]], texts: Mapping[str, tuple[int, bool]], longest: int) -> DataFrame:
-    """The columns of `frames` but for body, with a column for each field, each text and text_error.
-
-    Every body has the kind's fixed bytes at least. text_error is the first
-    fault of the texts in their order, or that two of them share bytes.
-    """
-    others = [c for c in frames.columns if c != "body"]
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            raw, off = _bodies(batch.column(len(others)))
-            fixed = raw[off[:-1, None] + np.arange(kind.fixed)] if n else np.empty((0, kind.fixed), np.uint8)
-            odd = np.concatenate([[0], np.cumsum((raw < 0x20) | (raw > 0x7E))])
-            columns = [_field(fixed, at, t) for at, t in fields.values()]
-            out = [pa.array(c.astype(np.int64) if c.dtype == np.uint32 else c) for c in columns]
-            first, spans = np.zeros(n, dtype=object), []
-            first[:] = None
-            for at, required in texts.values():
-                values, error, b, e = _text(raw, off, odd, fixed, at, kind.fixed, required=required, longest=longest)
-                out.append(values)
-                first = np.where((first == None) & (error > 0), _ERRORS[error], first)  # noqa: E711
-                spans.append((b, e))
-            for i, (b, e) in enumerate(spans):
-                for b2, e2 in spans[:i]:
-                    shared = (e > b) & (e2 > b2) & (b < e2) & (b2 < e)
-                    first = np.where((first == None) & shared, "range_overlap", first)  # noqa: E711
-            out.append(pa.array(first.tolist(), pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *out], names=[*others, *fields, *texts, "text_error"])
-
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frames.select(*others).schema.fields)
-    added = ", ".join([*(f"{name} {SQL_TYPES[t]}" for name, (_, t) in fields.items()), *(f"{name} string" for name in texts)])
-    return frames.select(*others, "body").mapInArrow(unpack, f"{kept}, {added}, text_error string")
+class Bodies:
+    """The fields and texts of the bodies of one family, each of which has the kind's fixed bytes at least."""
+
+    def __init__(self, column: pa.Array, kind: Kind, fields: Mapping[str, tuple[int, str]], texts: Mapping[str, int], longest: int) -> None:
+        self.raw, self.off = _bodies(column)
+        self.fields = fields
+        self.fixed = _gather(self.raw, self.off[:-1], kind.fixed)
+        odd = np.concatenate([[0], np.cumsum((self.raw < 0x20) | (self.raw > 0x7E))])
+        self.texts = {name: _text(self.raw, self.off, odd, self.fixed, at, kind.fixed, required=True, longest=longest) for name, at in texts.items()}
+
+    def field(self, name: str) -> np.ndarray:
+        at, kind = self.fields[name]
+        value = _field(self.fixed, at, kind)
+        return value.astype(np.int64) if kind == "<u4" else value
+
+    def text(self, name: str) -> pa.Array:
+        return self.texts[name][0]
+
+    def letter(self, name: str) -> np.ndarray:
+        """The byte of a text of one byte, else 0."""
+        _, _, start, end = self.texts[name]
+        one = end - start == 1
+        out = np.zeros(len(one), np.int64)
+        out[one] = self.raw[self.off[:-1][one] + start[one]]
+        return out
+
+    def text_error(self) -> np.ndarray:
+        """Number of the first fault of the texts in their order, or that two of them share bytes; 0 for none."""
+        first = np.zeros(len(self.off) - 1, np.int64)
+        for _, error, _, _ in self.texts.values():
+            first = np.where(first == 0, error, first)
+        spans = [(b, e) for _, _, b, e in self.texts.values()]
+        for i, (b, e) in enumerate(spans):
+            for b2, e2 in spans[:i]:
+                first = np.where((first == 0) & (e > b) & (e2 > b2) & (b < e2) & (b2 < e), RANGE_OVERLAP, first)
+        return first
 
 
 # Header fields, name -> (offset, type).
 HEADER_FIELDS = {"head_size": (0, "<u1"), "message_size": (1, "<u4"), "encoding": (5, "<u1"), "service_id": (6, "<u1"), "service_version": (7, "<u2"), "message_id": (9, "<u2"), "vendor_local_time_raw": (11, "<u4"), "vendor_sequence": (15, "<u8")}
-HEADER_DDL = "head_size int, message_size bigint, encoding int, service_id int, service_version int, message_id int, vendor_local_time_raw bigint, vendor_sequence decimal(20,0), route_bad boolean, route_channel bigint"
+HEADER_DDL = "head_size int, message_size bigint, encoding int, service_id int, service_version int, message_id int, vendor_local_time_raw bigint, vendor_sequence decimal(20,0), route_channel bigint, kind string, admission_result string"
 #: Descriptors of the texts that route a snapshot.
 ROUTE_TEXTS = {SH_SNAPSHOT: (4,), SZ_SNAPSHOT: (14, 20)}
 
@@ -98,10 +102,19 @@ def _gather(raw: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
     return raw[start[:, None] + np.arange(size)] if len(start) else np.empty((0, size), np.uint8)
 
 
-def scanned(frames: DataFrame) -> DataFrame:
-    """Adds the header's fields (null where it is too short), whether the fields that route the body are bad, and the channel of a tick."""
+#: Why a frame is rejected; the first reason that holds counts.
+RESULTS = ("accepted", "header_truncated", "header_invalid", "body_size_mismatch", "non_binary_encoding", "unsupported_message", "disabled_message", "body_too_large", "body_truncated", "route_invalid")
+
+
+def scanned(frames: DataFrame, streams: Collection[tuple[int, int, int]], tick_capacity: int, snapshot_capacity: int) -> DataFrame:
+    """Adds the header's fields (null where it is too short), the channel of a tick, kind (null if it is none of the five) and admission_result."""
     names = frames.columns
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frames.schema.fields)
+    kinds, results = pa.array([*(k.name for k in KINDS), None]), pa.array(RESULTS)
+    # by number of the family; the last entry is for frames of none
+    enabled = np.array([k.key in streams for k in KINDS] + [False])
+    fixed_size = np.array([k.fixed for k in KINDS] + [0])
+    capacity = np.array([tick_capacity if k.tick else snapshot_capacity for k in KINDS] + [1 << 62])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,23 +131,33 @@ def scanned(frames: DataFrame) -> DataFrame:
                 else:
                     out.append(pa.array(v.astype(np.int64), mask=~whole).cast(pa.int64() if v.dtype == np.uint32 else pa.int32()))
             raw, off = _bodies(batch.column(names.index("body")).fill_null(b""))
-            size, bad, channel, ticks = np.diff(off), np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, bool)
-            odd = np.concatenate([[0], np.cumsum((raw < 0x20) | (raw > 0x7E))])
-            for kind in KINDS:
-                own = np.flatnonzero(whole & (got["service_id"] == kind.key[0]) & (got["service_version"] == kind.key[1]) & (got["message_id"] == kind.key[2]) & (size >= kind.fixed))
+            size, bad, channel, family = np.diff(off), np.zeros(n, bool), np.zeros(n, np.int64), np.full(n, len(KINDS))
+            ticks = np.zeros(n, bool)
+            odd = None
+            for i, kind in enumerate(KINDS):
+                is_kind = whole & (got["service_id"] == kind.key[0]) & (got["service_version"] == kind.key[1]) & (got["message_id"] == kind.key[2])
+                family[is_kind] = i
+                own = np.flatnonzero(is_kind & (size >= kind.fixed))
                 if not len(own):
                     continue
-                head = _gather(raw, off[own], kind.fixed)
                 if kind.tick:
-                    channel[own] = _field(head, 8, "<i4") if kind == SH_TICK else _field(head, 0, "<u4")
+                    at, t = (8, "<i4") if kind == SH_TICK else (0, "<u4")
+                    channel[own] = _field(_gather(raw, off[own], at + 4), at, t)
                     ticks[own] = True
                     if kind == SH_TICK:
                         bad[own] = channel[own] <= 0
                 for at in ROUTE_TEXTS.get(kind, ()):
-                    _, error, _, _ = _text(raw, off, odd, head, at, kind.fixed, required=True, longest=MAX_TEXT_BYTES, rows=own)
+                    odd = np.concatenate([[0], np.cumsum((raw < 0x20) | (raw > 0x7E))]) if odd is None else odd
+                    _, error, _, _ = _text(raw, off, odd, _gather(raw, off[own], kind.fixed), at, kind.fixed, required=True, longest=MAX_TEXT_BYTES, rows=own)
                     bad[own] |= error > 0
-            out += [pa.array(bad), pa.array(channel, mask=~ticks)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*names, *HEADER_FIELDS, "route_bad", "route_channel"])
+            message = got["message_size"].astype(np.int64)
+            tests = [
+                ~whole, (got["head_size"] != HEADER_BYTES) | (message < HEADER_BYTES), size != message - HEADER_BYTES, got["encoding"] != BINARY_ENCODING, family == len(KINDS), ~enabled[family], size > capacity[family],
+                size < fixed_size[family], bad,
+            ]
+            result = np.select(tests, range(1, len(RESULTS)), 0)
+            out += [pa.array(channel, mask=~ticks), kinds.take(pa.array(family)), results.take(pa.array(result))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*names, *HEADER_FIELDS, "route_channel", "kind", "admission_result"])
 
     return frames.mapInArrow(scan, f"{kept}, {HEADER_DDL}")
 
@@ -170,7 +193,7 @@ def _expanded(start: np.ndarray, count: np.ndarray, item: int) -> tuple[np.ndarr
 
 
 def with_books(frames: DataFrame, kind: Kind, fields: Mapping[str, tuple[int, str]], texts: Mapping[str, tuple[int, bool]], lists: Mapping[str, int], *, longest: int, depth: int, queue_limit: int, keep: int) -> DataFrame:
-    """Like `unpacked`, and for each list the first `keep` levels, its whole depth, and book_quality and book_error of all levels and queues."""
+    """The columns of `frames` but for body, with each field and text, for each list the first `keep` levels, its whole depth, and book_quality and book_error of all levels and queues."""
     sh = kind == SH_SNAPSHOT
     item, inner, null = (16, 8, NULL_I64) if sh else (8, 0, None)
     price_at, price_type, shares_at = (4, "<i4", 8) if sh else (8, "<i8", 0)

@@ -4,24 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickline.functions.fixed import BINARY_ENCODING, HEADER_BYTES, KINDS, Kind
+from tickline.functions.fixed import KINDS, Kind
 from tickline.functions.unpack import scanned
 from tickline.plans.config import EngineConfig
 
-
-def is_key(key: tuple[int, int, int]) -> Column:
-    return (F.col("service_id") == key[0]) & (F.col("service_version") == key[1]) & (F.col("message_id") == key[2])
-
-
-def kind_of() -> Column:
-    """Name of the message family, null if it is none of the five."""
-    out = F.lit(None).cast("string")
-    for kind in KINDS:
-        out = F.when(is_key(kind.key), kind.name).otherwise(out)
-    return out
+#: What decoding takes over from admission.
+COMMON = ("ingress_sequence", "receive_monotonic_ns", "vendor_sequence", "vendor_local_time_raw", "service_id", "service_version", "message_id", "kind")
 
 
 def route_key(admitted: DataFrame) -> DataFrame:
@@ -36,26 +27,7 @@ def admit(frames: DataFrame, config: EngineConfig | None = None) -> DataFrame:
     are told apart by a filter on admission_result.
     """
     config = config or EngineConfig()
-    parsed = scanned(frames).withColumn("kind", kind_of())
-    size = F.coalesce(F.octet_length("body"), F.lit(0))
-    capacity = F.when(F.col("kind").isin([k.name for k in KINDS if k.tick]), config.maximum_tick_body_bytes).otherwise(config.maximum_snapshot_body_bytes)
-    enabled = F.lit(False)
-    for key in config.streams:
-        enabled = enabled | is_key(key)
-    result = (
-        F.when(F.coalesce(F.octet_length("header"), F.lit(0)) < HEADER_BYTES, "header_truncated")
-        .when((F.col("head_size") != HEADER_BYTES) | (F.col("message_size") < HEADER_BYTES), "header_invalid")
-        .when(size != F.col("message_size") - HEADER_BYTES, "body_size_mismatch")
-        .when(F.col("encoding") != BINARY_ENCODING, "non_binary_encoding")
-        .when(F.col("kind").isNull(), "unsupported_message")
-        .when(~enabled, "disabled_message")
-        .when(size > capacity, "body_too_large")
-    )
-    fixed = F.lit(0)
-    for kind in KINDS:
-        fixed = F.when(F.col("kind") == kind.name, kind.fixed).otherwise(fixed)
-    result = result.when(size < fixed, "body_truncated").when(F.col("route_bad"), "route_invalid")
-    return parsed.withColumn("admission_result", result.otherwise("accepted"))
+    return scanned(frames, config.streams, config.maximum_tick_body_bytes, config.maximum_snapshot_body_bytes)
 
 
 def accepted(admitted: DataFrame, kinds: Iterable[Kind] = KINDS) -> DataFrame:

@@ -6,16 +6,26 @@ the first ten of a side are kept.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickline.functions import wire
 from tickline.functions.fixed import BOOK_DEPTH, NULL_I32, NULL_I64, QUALITY, SH_SNAPSHOT, SZ_SNAPSHOT, Kind
 from tickline.functions.unpack import with_books
-from tickline.operators.admit import accepted
-from tickline.operators.decode_tick import COMMON, _first, _flag, _join
+from tickline.operators.admit import COMMON, accepted
 from tickline.plans.config import EngineConfig
 
+
+def _flag(condition: Column, bit: int) -> Column:
+    return F.when(condition, bit).otherwise(0).cast("bigint")
+
+
+def _join(*flags: Column) -> Column:
+    return reduce(lambda a, b: a.bitwiseOR(b), flags)
+
+
 def _price(raw: Column, scale: int, bits: int) -> tuple[Column, Column, Column]:
     """(struct, quality, overflow) of a price, which must be positive."""
     null = NULL_I32 if bits == 32 else NULL_I64
@@ -77,7 +87,7 @@ def _decode(admitted: DataFrame, kind: Kind, config: EngineConfig) -> DataFrame:
     over = paid[2]
     for _, _, o in priced.values():
         over = over | o
-    error = _first(F.when(over, "fixed_point_overflow"), F.col("book_error"))
+    error = F.coalesce(F.when(over, "fixed_point_overflow"), F.col("book_error"))
     absent = wire.decimal(F.lit(NULL_I64), 6, 64, F.lit(False))
     value = lambda n: F.col(n) if n in texts else F.lit("")
     return df.select(
