@@ -238,7 +238,7 @@ def admission_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("seq")
     x = _lines(spark, sf_dir)
     content = encode.sz_order_body(channel=F.col("channel"), sequence=k, stream=F.lit("010"), security=F.lit("000001"), source=F.lit("102"), price=F.lit(1), quantity=F.lit(1), side=F.lit(49), time=F.lit(0), type_=F.lit(50))
-    made = x.select("seq", content.alias("whole")).withColumn("body", F.when(k % 13 == 8, F.substring("whole", 1, 40)).otherwise(F.col("whole")))
+    made = x.select("seq", content.column().alias("whole")).withColumn("body", F.when(k % 13 == 8, F.substring("whole", 1, 40)).otherwise(F.col("whole")))
     size = F.octet_length("body") + 23 + F.when(k % 13 == 3, 1).otherwise(0)
     size = F.when(k % 13 == 2, 22).otherwise(size)
     head = encode.header(SZ_ORDER, size, F.lit(0), k, encoding=F.when(k % 13 == 4, 2).otherwise(1), message_size=size, key=(F.lit(6), F.lit(101), F.when(k % 13 == 5, 53).when(k % 13 == 6, 36).otherwise(33)))
@@ -251,10 +251,10 @@ def admission_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _book_frames(spark: SparkSession, sf_dir: str, kind: Kind) -> DataFrame:
-    """One snapshot for each part: its line items are the levels of the bids, with queues of one to three orders."""
+    """One snapshot for each part, odd ones of Shanghai and even ones of Shenzhen: its line items are the levels of the bids, with queues of one to three orders."""
     sh = kind == SH_SNAPSHOT
     item, depth = (16, 236) if sh else (8, 216)
-    lines = _lines(spark, sf_dir).where("l_partkey % 4 = 1" if sh else "l_partkey % 4 = 2").select("l_partkey", F.struct("cents", "qty", "seq", "l_suppkey").alias("x"))
+    lines = _lines(spark, sf_dir).where("l_partkey % 2 = 1" if sh else "l_partkey % 2 = 0").select("l_partkey", F.struct("cents", "qty", "seq", "l_suppkey").alias("x"))
     books = lines.groupBy("l_partkey").agg(F.sort_array(F.collect_list("x")).alias("levels"))
     n = F.size("levels")
     queues = F.transform("levels", lambda v: v.qty % 3 + 1)
@@ -303,8 +303,8 @@ def queue_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BOOK = f"""WITH l AS ({_LINES}),
-b AS (SELECT CASE WHEN l_partkey % 4 = 1 THEN 'SH' ELSE 'SZ' END AS market, l_partkey AS part, cents, qty, seq, l_suppkey,
-      row_number() OVER (PARTITION BY l_partkey ORDER BY cents, qty, seq, l_suppkey) - 1 AS level FROM l WHERE l_partkey % 4 IN (1, 2))"""
+b AS (SELECT CASE WHEN l_partkey % 2 = 1 THEN 'SH' ELSE 'SZ' END AS market, l_partkey AS part, cents, qty, seq, l_suppkey,
+      row_number() OVER (PARTITION BY l_partkey ORDER BY cents, qty, seq, l_suppkey) - 1 AS level FROM l)"""
 
 # ---- catalog and dispatch
 
