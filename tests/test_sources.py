@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tickline.operators.catalog import build_catalog
-from tickline.operators.dispatch import lower_percentile
+from tickline.operators.dispatch import lower_percentiles
 from tickline.sources.catalog_file import HEADER, load_catalog
 from tickline.sources.stream_config import load_streams, parse_streams
 from tickline.sources.synthetic import arrivals
@@ -48,6 +48,7 @@ def test_synthetic_orders(spark):
             assert seqs == [b * window + window - i for b in range(16 // window) for i in range(window)]
 
 
-def test_lower_percentile(spark):
-    df = spark.createDataFrame([(x,) for x in (4, 1, 3, 2)], "x int")
-    assert [df.agg(lower_percentile("x", q)).first()[0] for q in (0, 0.5, 0.9, 1)] == [1, 2, 3, 4]
+def test_lower_percentiles(spark):
+    df = spark.createDataFrame([("a", x) for x in (4, 1, 3, 2, None)] + [("b", 7)] * 5, "k string, x int")
+    rows = {r["k"]: list(r)[1:] for r in lower_percentiles(df, ["k"], "x", {"least": 0, "half": 0.5, "most": 0.9, "all": 1}).collect()}
+    assert rows == {"a": [1, 2, 3, 4], "b": [7] * 4}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,10 +38,16 @@ def order_violations(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("previous", F.lag("native_sequence").over(order)).where(F.col("native_sequence") <= F.col("previous"))
 
 
-def lower_percentile(column: str | Column, q: float) -> Column:
-    """The value at index floor(q (n - 1)) of the sorted values: an exact aggregate that counts equal values once."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.element_at(F.sort_array(F.collect_list(c)), (F.floor(F.lit(q) * (F.count(c) - 1)) + 1).cast("int"))
+def lower_percentiles(values: DataFrame, keys: list[str], column: str, points: dict[str, float]) -> DataFrame:
+    """For each group, name -> the value at index floor(q (n - 1)) of its sorted values. Nulls do not count.
+
+    Equal values are counted before anything is sorted, so that a group costs as
+    much as it has different values.
+    """
+    counts = values.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("times"))
+    order = Window.partitionBy(*keys).orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.withColumns({"upto": F.sum("times").over(order), "all": F.sum("times").over(Window.partitionBy(*keys))})
+    return upto.groupBy(*keys).agg(*(F.min(F.when(F.col("upto") > F.floor(F.lit(q) * (F.col("all") - 1)), F.col(column))).alias(name) for name, q in points.items()))
 
 
 def counters(admitted: DataFrame, ticks: DataFrame, snapshots: DataFrame, events: DataFrame) -> DataFrame:

@@ -28,7 +28,14 @@ INPUT = [*CHANNEL, "ingress_sequence", "receive_monotonic_ns", "native_sequence"
 
 def payload() -> Column:
     """What two records of one native position must agree on to be the same: content, but no clocks, flags or stream."""
-    return F.to_json(F.struct(*(F.col(c).alias(c.replace(".", "_")) for c in PAYLOAD)))
+    values = [F.col(c) for c in PAYLOAD]
+    # 128 bits stand for the content, so that no text of it is shuffled
+    return F.concat(F.hex(F.xxhash64(*values)), F.lit("."), F.hex(F.xxhash64(F.lit("second"), *values)))
+
+
+def positions(decoded: DataFrame) -> DataFrame:
+    """Decoded and matched ticks that have a place in a channel, as recovery takes them; those that failed to decode hold theirs."""
+    return decoded.where("decode_error is null or (native_sequence > 0 and (market = 'SZ' or channel > 0))").withColumn("payload", payload())
 
 
 def recover_at_once(records: DataFrame, mode: str = FROM_OPEN) -> DataFrame:
@@ -98,11 +105,17 @@ def freeze_points(records: DataFrame) -> DataFrame:
 
 
 def partial_origin(records: DataFrame, hold_ns: int) -> DataFrame:
-    """market, channel, discovery_ends_ns and origin: the least sequence that arrives before the hold is over."""
-    start = records.groupBy(*CHANNEL).agg(F.min("receive_monotonic_ns").alias("begins"))
-    x = records.join(start, CHANNEL)
-    held = (F.col("receive_monotonic_ns") < F.col("begins") + hold_ns) if hold_ns else F.lit(False)
-    return x.groupBy(*CHANNEL).agg((F.min("begins") + hold_ns).alias("discovery_ends_ns"), F.coalesce(F.min(F.when(held, F.col("native_sequence"))), F.min_by("native_sequence", "ingress_sequence")).alias("origin"))
+    """market, channel, discovery_ends_ns and origin for an endless wait after a start in the middle.
+
+    Discovery ends with the first record of a new position that arrives when the
+    hold is over, or with the stream; the origin is the least sequence up to then.
+    """
+    first = Window.partitionBy(*CHANNEL, "native_sequence")
+    x = records.withColumn("begins", F.min("receive_monotonic_ns").over(Window.partitionBy(*CHANNEL))).withColumn("own", F.col("ingress_sequence") == F.min("ingress_sequence").over(first))
+    over = F.col("own") & (F.col("receive_monotonic_ns") >= F.col("begins") + hold_ns)
+    ends = x.groupBy(*CHANNEL).agg(F.min(F.when(over, F.struct("ingress_sequence", "receive_monotonic_ns"))).alias("end"), (F.min("begins") + hold_ns).alias("due"))
+    held = records.join(ends, CHANNEL).where(F.col("end").isNull() | (F.col("ingress_sequence") <= F.col("end.ingress_sequence")))
+    return held.groupBy(*CHANNEL).agg(F.min(F.coalesce("end.receive_monotonic_ns", "due")).alias("discovery_ends_ns"), F.min("native_sequence").alias("origin"))
 
 
 def event_row(market: str, channel: int, e: Event) -> tuple:

@@ -3,11 +3,13 @@
 The machine puts a channel's records into native order. Records ahead of the
 frontier wait in a table of bounded size; a wait that lasts too long, or a table
 that is too small, makes a gap. Where a deadline and an arrival coincide the
-deadline comes first.
+deadline comes first, but for discovery: a record that arrives after the hold is
+taken in before discovery ends, and so can lower the origin.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -56,6 +58,7 @@ class Channel:
     seen: int | None = None
     pending: dict[int, Record] = field(default_factory=dict)
     slots: dict[int, int] = field(default_factory=dict)
+    heap: list[int] = field(default_factory=list)
 
     @classmethod
     def start(cls, config: EngineConfig) -> Channel:
@@ -76,27 +79,31 @@ class Channel:
             yield from self._open(due) if self.discovering else self._skip(due)
 
     def arrive(self, r: Record, now: int) -> Iterator[Event]:
+        if self.discovering and not self.frozen:
+            yield from self._discover(r, now)
+            return
         yield from self.advance(now)
         if self.frozen:
             yield Event("dropped", r.ingress, r.sequence)
             return
-        if self.discovering:
-            put = self._put(r)
-            if put == "same":
-                yield Event("dropped", r.ingress, r.sequence)
-            elif put == "conflict":
-                yield self._late(r, "pending_canonical_conflict")
-            elif put == "full":
-                yield from self._open(now)
-                yield from self._active(r, now)
-            else:
-                if self.seen is None:
-                    self.seen = now
-                if self.hold == 0:
-                    yield from self._open(now)
-            return
         yield from self._active(r, now)
 
+    def _discover(self, r: Record, now: int) -> Iterator[Event]:
+        """A record before the origin is known. A repeat does not end discovery."""
+        put = self._put(r)
+        if put == "same":
+            yield Event("dropped", r.ingress, r.sequence)
+        elif put == "conflict":
+            yield self._late(r, "pending_canonical_conflict")
+        elif put == "full":
+            yield from self._open(now)
+            yield from self._active(r, now)
+        else:
+            if self.seen is None:
+                self.seen = now
+            if now - self.seen >= self.hold:
+                yield from self._open(now)
+
     def fail(self, sequence: int, now: int) -> Iterator[Event]:
         """A record of this channel could not be decoded."""
         yield from self.advance(now)
@@ -118,11 +125,18 @@ class Channel:
         if held is None:
             self.slots[slot] = r.sequence
             self.pending[r.sequence] = r
+            heapq.heappush(self.heap, r.sequence)
             return "new"
         if held != r.sequence:
             return "full"
         return "same" if self.pending[held].payload == r.payload else "conflict"
 
+    def _least(self) -> int:
+        """The least sequence that waits; taken ones leave the heap here."""
+        while self.heap[0] not in self.pending:
+            heapq.heappop(self.heap)
+        return self.heap[0]
+
     def _take(self, sequence: int) -> Record:
         del self.slots[sequence % self.entries]
         return self.pending.pop(sequence)
@@ -144,7 +158,7 @@ class Channel:
     def _open(self, now: int) -> Iterator[Event]:
         self.discovering = False
         if self.pending:
-            self.expected = min(self.pending)
+            self.expected = self._least()
             yield from self._drain(now)
 
     def _missing(self, last: int, now: int) -> Iterator[Event]:
@@ -158,7 +172,7 @@ class Channel:
         self.expected = last + 1
 
     def _skip(self, now: int) -> Iterator[Event]:
-        yield from self._missing(min(self.pending) - 1, now)
+        yield from self._missing(self._least() - 1, now)
         yield from self._drain(now)
 
     def _late(self, r: Record, reason: str) -> Event:
@@ -187,7 +201,7 @@ class Channel:
                 yield self._freeze("canonical_conflict", r.sequence, now) if self.mode == FROM_OPEN else self._late(r, "pending_canonical_conflict")
                 return
             if put == "full":
-                if r.sequence < min(self.pending):
+                if r.sequence < self._least():
                     yield from self._missing(r.sequence - 1, now)
                 else:
                     yield from self._skip(now)

@@ -12,7 +12,7 @@ from tickline.operators.admit import admit
 from tickline.operators.catalog import match
 from tickline.operators.decode_snapshot import decode_snapshots
 from tickline.operators.decode_tick import decode_ticks
-from tickline.operators.recovery import late_ticks, payload, recover, recovered_ticks
+from tickline.operators.recovery import late_ticks, positions, recover, recovered_ticks
 from tickline.plans.config import FROM_OPEN, EngineConfig
 
 
@@ -36,13 +36,24 @@ class Outputs:
         return dispatch.counters(self.admitted, self.decoded, self.all_snapshots, self.events)
 
 
-def run(frames: DataFrame, catalog: DataFrame, config: EngineConfig | None = None, *, flush: bool = True) -> Outputs:
-    """Plans a run. Ticks are matched with the catalog before recovery and filtered after it, so that a foreign record still holds its place."""
+def run(frames: DataFrame, catalog: DataFrame, config: EngineConfig | None = None, *, flush: bool = True, folder: str | None = None) -> Outputs:
+    """Plans a run. Ticks are matched with the catalog before recovery and filtered after it, so that a foreign record still holds its place.
+
+    With `folder`, which driver and executors must share, decoded ticks and
+    recovery events are written there once, and all outputs read them; without it
+    each output decodes the frames for itself.
+    """
     config = config or EngineConfig()
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        if folder is None:
+            return df
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     admitted = admit(frames, config)
-    decoded = match(decode_ticks(admitted, config), catalog)
-    positions = decoded.where("decode_error is null or (native_sequence > 0 and (market = 'SZ' or channel > 0))").withColumn("payload", payload())
-    events = recover(positions, config, flush=flush)
+    decoded = kept(match(decode_ticks(admitted, config), catalog), "decoded")
+    events = kept(recover(positions(decoded), config, flush=flush), "events")
     owned = dispatch.with_owner(recovered_ticks(decoded, events), config.owners)
     every = match(decode_snapshots(admitted, config), catalog)
     snapshots = dispatch.with_owner(every.where("decode_error is null and catalog_match"), config.owners)

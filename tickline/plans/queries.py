@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,13 @@ from tickline.operators.catalog import match, problems
 from tickline.operators.decode_snapshot import decode_snapshots
 from tickline.operators.decode_tick import decode_ticks
 from tickline.plans.config import PARTIAL, EngineConfig
+from tickline.plans.pipeline import Outputs, run
+from tickline.plans.workspace import work_folder
 from tickline.sources import encode
 from tickline.sources.adapters import event_arrivals, security, supplier_definitions, table
+from tickline.streaming.engine import replay, run_stream
 
+AT_ONCE = EngineConfig(from_open_wait_ns=0, owners=3, reorder_entries=1 << 20, maximum_span=1 << 20)
 PATIENT = EngineConfig(from_open_wait_ns=None, partial_wait_ns=None, reorder_entries=1 << 30, maximum_span=1 << 30)
 
 # ---- recovery without a wait
@@ -56,15 +61,66 @@ def catalog_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.groupBy("channel", "output_kind").agg(F.count("*").alias("records"), F.sum(F.col("is_gap").cast("bigint")).alias("gaps"))
 
 
+def order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that break native order: as they arrive, and as the machine emits them."""
+    records = event_arrivals(spark, sf_dir)
+    ticks = recovery.recover(records, AT_ONCE).where("output_kind in ('tick', 'unmatched')").withColumn("emitted_at", F.monotonically_increasing_id())
+    broken = lambda df, name: dispatch.order_violations(df).groupBy("channel").agg(F.count("*").alias(name))
+    arrived = broken(records.withColumn("emitted_at", F.col("ingress_sequence")), "arrived")
+    return arrived.join(broken(ticks, "emitted"), "channel", "left").select("channel", "arrived", F.coalesce("emitted", F.lit(0)).cast("bigint").alias("emitted"))
+
+
+# ---- the engine from end to end
+
+
+def _event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrivals of the events as frames of Shanghai orders; every tenth comes a second time with its header cut off."""
+    sec = F.when(F.col("catalog_match"), F.concat(F.lit("E"), (F.col("native_sequence") % 7).cast("string"))).otherwise("X")
+    content = encode.sh_tick_body(sequence=F.col("native_sequence"), channel=F.col("channel") + 1, security=sec, type_=F.lit("A"), mark=F.lit("B"), price=F.col("payload").cast("bigint") % 100_000 + 1, quantity=F.lit(100), money=F.lit(0), buy=F.col("native_sequence"), sell=F.lit(0), time=F.lit(93_000_000))
+    whole = encode.frames(event_arrivals(spark, sf_dir), SH_TICK, content, ingress=F.col("ingress_sequence"), receive_ns=F.col("receive_monotonic_ns"))
+    cut = whole.where("ingress_sequence % 10 = 3").withColumn("header", F.substring("header", 1, 20)).withColumn("ingress_sequence", F.col("ingress_sequence") + 1_000_000_000)
+    return whole.unionByName(cut)
+
+
+def _event_catalog(spark: SparkSession) -> DataFrame:
+    return spark.range(7).select((F.col("id") + 1).alias("instrument_id"), F.col("id").alias("instrument_ordinal"), F.lit("SH").alias("market"), F.lit("").alias("security_id_source"), F.concat(F.lit("E"), F.col("id").cast("string")).alias("security_id"))
+
+
+def _engine(spark: SparkSession, sf_dir: str) -> Outputs:
+    return run(_event_frames(spark, sf_dir), _event_catalog(spark), AT_ONCE, flush=False, folder=work_folder(spark, "engine"))
+
+
+def engine_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _engine(spark, sf_dir).ticks.select((F.col("channel") - 1).alias("channel"), "native_sequence", "ingress_sequence", "instrument_id", "owner", F.col("price.p6").alias("price_p6"), "gap_first", "gap_last", "validity", "quality")
+
+
+def engine_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the owners poll, by owner and instrument."""
+    ticks = _engine(spark, sf_dir).ticks
+    polled = [dispatch.owned_by(ticks, i, AT_ONCE.owners).groupBy("instrument_id").agg(F.count("*").alias("records"), F.max("native_sequence").alias("last_sequence")).withColumn("owner", F.lit(i)) for i in range(AT_ONCE.owners)]
+    return reduce(DataFrame.unionByName, polled)
+
+
+def engine_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _engine(spark, sf_dir).late.select((F.col("channel") - 1).alias("channel"), "ingress_sequence", "native_sequence", "committed_next_sequence", "observed_gap_epoch", "reason", "catalog_match", "validity", "quality")
+
+
 def stats_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count = lambda test: F.sum(F.when(test, 1).otherwise(0)).cast("bigint")
-    k = F.col("output_kind")
-    return _at_once(spark, sf_dir).agg(F.count("*").alias("decoded_ticks"), count(~F.col("catalog_match")).alias("catalog_misses"), count(k == "tick").alias("dispatched_ticks"), count(k == "late").alias("late_recovery_dispatched"), count(F.col("is_gap")).alias("gaps_skipped"))
+    return _engine(spark, sf_dir).stats()
 
 
-def order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ticks = _at_once(spark, sf_dir).where("output_kind = 'tick'").withColumn("emitted_at", F.col("ingress_sequence"))
-    return dispatch.order_violations(ticks).agg(F.count("*").alias("violations"))
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same frames as a stream of files in three batches, recovered without a wait."""
+    folder = work_folder(spark, "replay")
+    frames = _event_frames(spark, sf_dir)
+    last = frames.where("ingress_sequence < 1000000000").agg(F.max("ingress_sequence")).first()[0] or 0
+    third = F.least(F.floor(F.col("ingress_sequence") * 3 / (last + 1)), F.lit(2))
+    for i in range(3):
+        frames.where(third == i).coalesce(1).write.parquet(f"{folder}/in/part={i}")
+    stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    replay(run_stream(stream, _event_catalog(spark), AT_ONCE), folder)
+    events = spark.read.schema(recovery.EVENT_DDL).parquet(f"{folder}/out").where("output_kind in ('tick', 'late', 'gap')")
+    return events.select((F.col("channel") - 1).alias("channel"), "output_kind", "ingress_sequence", "native_sequence", "gap_epoch", "gap_first", "gap_last")
 
 
 _A1 = """
@@ -102,8 +158,7 @@ def reorder_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = reorder_delay(spark, sf_dir)
-    return x.groupBy("channel").agg(*(dispatch.lower_percentile("delay", q).alias(f"p{n}") for n, q in (("50", 0.5), ("90", 0.9), ("99", 0.99), ("999", 0.999))), F.max("delay").alias("max_all"))
+    return dispatch.lower_percentiles(reorder_delay(spark, sf_dir), ["channel"], "delay", {"p50": 0.5, "p90": 0.9, "p99": 0.99, "p999": 0.999, "max_all": 1.0})
 
 
 def conflict_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +383,15 @@ def owner_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return owned.groupBy("owner", "catalog_match").agg(F.count("*").alias("records"), F.sum("qty").alias("quantity"))
 
 
+# discovery ends with the first new position that arrives when the hold of 200,000 ns is over
+_DISCOVERY = """, s AS (SELECT * FROM arrivals WHERE seq >= 100), b AS (SELECT channel, min(ingress) * 1000 AS begins FROM s GROUP BY channel),
+ends AS (SELECT channel, min(first_at) AS e FROM (SELECT channel, seq, min(ingress) AS first_at FROM s GROUP BY ALL) JOIN b USING (channel) WHERE first_at * 1000 >= begins + 200000 GROUP BY channel)
+"""
+_EVERY = _AT_ONCE + """,
+h AS (SELECT g.*, cents % 100000 + 1 AS price, x.gap_first, x.gap_last, NOT late AND matched AND epoch > 0 AND row_number() OVER (PARTITION BY g.channel, g.epoch, late, matched ORDER BY ingress) = 1 AS first_after
+      FROM g LEFT JOIN (SELECT channel, epoch, frontier + 1 AS gap_first, seq - 1 AS gap_last FROM g WHERE is_gap) x USING (channel, epoch))
+"""
+
 SQL: dict[str, str] = {
     "ordered_ticks": _AT_ONCE + "SELECT channel, seq AS native_sequence, ingress AS ingress_sequence, epoch AS gap_epoch, epoch = 0 AS history_complete FROM g WHERE NOT late AND matched",
     "channel_gaps": _AT_ONCE + _GAPS,
@@ -338,8 +402,8 @@ x AS (SELECT channel, epoch, frontier + 1 AS gap_first, seq - 1 AS gap_last FROM
 SELECT n.channel, n.seq AS native_sequence, n.epoch AS gap_epoch, gap_first, gap_last FROM n JOIN x USING (channel, epoch)""",
     "history_quality": _AT_ONCE + "SELECT channel, count(*) FILTER (epoch = 0) AS complete, count(*) FILTER (epoch > 0) AS incomplete FROM g WHERE NOT late AND matched GROUP BY channel",
     "catalog_continuity": _AT_ONCE + "SELECT channel, CASE WHEN late THEN 'late' WHEN seq % 3 <> 0 THEN 'tick' ELSE 'unmatched' END AS output_kind, count(*) AS records, count(*) FILTER (is_gap) AS gaps FROM g GROUP BY ALL",
-    "stats_counters": _AT_ONCE + "SELECT count(*) AS decoded_ticks, count(*) FILTER (NOT matched) AS catalog_misses, count(*) FILTER (NOT late AND matched) AS dispatched_ticks, count(*) FILTER (late) AS late_recovery_dispatched, count(*) FILTER (is_gap) AS gaps_skipped FROM g",
-    "order_check": "SELECT CAST(0 AS BIGINT) AS violations",
+    "order_check": _HOLES + """SELECT channel, count(*) AS arrived, CAST(0 AS BIGINT) AS emitted
+FROM (SELECT channel, seq, lag(seq) OVER (PARTITION BY channel ORDER BY ingress) AS previous FROM arrivals) WHERE seq <= previous GROUP BY channel""",
     "pending_dups": _WHOLE + _PATIENT + "SELECT channel, kind AS output_kind, count(*) AS records FROM kinds GROUP BY ALL",
     "reorder_delay": _WHOLE + _PATIENT + "SELECT channel, seq AS native_sequence, commit_at, commit_at - ingress AS delay FROM kinds WHERE kind = 'tick'",
     "latency_percentiles": _WHOLE + _PATIENT + """, d AS (SELECT channel, list(commit_at - ingress ORDER BY commit_at - ingress) AS v FROM kinds WHERE kind = 'tick' GROUP BY channel)
@@ -348,16 +412,14 @@ SELECT channel, v[1 + CAST(floor(0.5 * (len(v) - 1)) AS BIGINT)] AS p50, v[1 + C
     "conflict_faults": _ALTERED + _PATIENT + """, clash AS (SELECT k.channel, k.ingress, k.seq FROM kinds k JOIN arrivals a ON a.channel = k.channel AND a.ingress = k.first_at WHERE kind = 'duplicate' AND a.cents <> k.cents),
 first_clash AS (SELECT channel, min(ingress) AS frozen_at, arg_min(seq, ingress) AS observed_sequence FROM clash GROUP BY channel)
 SELECT c.channel, frozen_at, observed_sequence, (SELECT count(*) FROM commits m WHERE m.channel = c.channel AND m.commit_at < frozen_at) + 1 AS expected_sequence FROM first_clash c""",
-    "partial_start": _WHOLE + """, s AS (SELECT * FROM arrivals WHERE seq >= 100), b AS (SELECT channel, min(ingress) * 1000 AS begins FROM s GROUP BY channel)
-SELECT channel, begins + 200000 AS discovery_ends_ns, min(seq) AS origin FROM s JOIN b USING (channel) WHERE ingress * 1000 < begins + 200000 GROUP BY ALL""",
+    "partial_start": _WHOLE + _DISCOVERY + "SELECT channel, e * 1000 AS discovery_ends_ns, min(seq) AS origin FROM s JOIN ends USING (channel) WHERE ingress <= e GROUP BY ALL",
     "machine_events": _AT_ONCE + """SELECT channel, CASE WHEN late THEN 'late' ELSE 'tick' END AS output_kind, ingress AS ingress_sequence, seq AS native_sequence,
   CASE WHEN late OR first_after THEN epoch ELSE 0 END AS gap_epoch, CASE WHEN first_after THEN gap_first END AS gap_first, CASE WHEN first_after THEN gap_last END AS gap_last
 FROM (SELECT g.*, x.gap_first, x.gap_last, NOT late AND matched AND epoch > 0 AND row_number() OVER (PARTITION BY g.channel, g.epoch, late, matched ORDER BY ingress) = 1 AS first_after
       FROM g LEFT JOIN (SELECT channel, epoch, frontier + 1 AS gap_first, seq - 1 AS gap_last FROM g WHERE is_gap) x USING (channel, epoch)) WHERE late OR matched
 UNION ALL SELECT channel, 'gap', NULL, NULL, epoch, frontier + 1, seq - 1 FROM g WHERE is_gap""",
     "machine_patient": _WHOLE + _PATIENT + "SELECT channel, CASE WHEN kind IN ('tick', 'pending') THEN CASE WHEN matched THEN 'tick' ELSE 'unmatched' END WHEN kind = 'duplicate' THEN 'dropped' ELSE kind END AS output_kind, count(*) AS records FROM kinds GROUP BY ALL",
-    "partial_recovery": _WHOLE + """, s AS (SELECT * FROM arrivals WHERE seq >= 100), b AS (SELECT channel, min(ingress) * 1000 AS begins FROM s GROUP BY channel)
-SELECT channel, min(seq) AS origin FROM s JOIN b USING (channel) WHERE ingress * 1000 < begins + 200000 GROUP BY channel""",
+    "partial_recovery": _WHOLE + _DISCOVERY + "SELECT channel, min(seq) AS origin FROM s JOIN ends USING (channel) WHERE ingress <= e GROUP BY channel",
     "p6_normalize": """WITH l AS (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) * (l_orderkey % 7 - 3) * 1000000 AS raw FROM lineitem)
 SELECT l_orderkey, l_linenumber, raw, TRY_CAST(CAST(raw AS HUGEINT) * 1000000 AS BIGINT) AS p6_from_0, TRY_CAST(CAST(raw AS HUGEINT) * 1000 AS BIGINT) AS p6_from_3, TRY_CAST(CAST(raw AS HUGEINT) * 100 AS BIGINT) AS p6_from_4, raw AS p6_from_6 FROM l""",
     "time_decode": """WITH o AS (SELECT o_orderkey, o_orderkey * 7919 % 260000000 AS raw FROM orders)
@@ -383,6 +445,16 @@ SELECT problem, instruments FROM p WHERE instruments > 0""",
 j AS (SELECT CASE WHEN l_suppkey % 4 <> 0 THEN ordinal % 6 END AS owner, ordinal IS NOT NULL AND l_suppkey % 4 <> 0 AS catalog_match, qty FROM l LEFT JOIN s ON s_suppkey = l_suppkey)
 SELECT CAST(owner AS INTEGER) AS owner, catalog_match, count(*) AS records, CAST(sum(qty) AS BIGINT) AS quantity FROM j GROUP BY ALL""",
 }
+SQL["stream_replay"] = SQL["machine_events"]
+SQL["engine_ticks"] = _EVERY + """SELECT channel, seq AS native_sequence, ingress AS ingress_sequence, seq % 7 + 1 AS instrument_id, CAST(seq % 7 % 3 AS INTEGER) AS owner, price * 1000 AS price_p6,
+  CASE WHEN first_after THEN gap_first END AS gap_first, CASE WHEN first_after THEN gap_last END AS gap_last, CAST(2635 + CASE WHEN epoch = 0 THEN 4096 ELSE 0 END AS BIGINT) AS validity,
+  CAST(CASE WHEN epoch = 0 THEN 0 ELSE 512 END + CASE WHEN first_after THEN 256 ELSE 0 END AS BIGINT) AS quality FROM h WHERE NOT late AND matched"""
+SQL["engine_owner"] = _AT_ONCE + "SELECT CAST(seq % 7 % 3 AS INTEGER) AS owner, seq % 7 + 1 AS instrument_id, count(*) AS records, max(seq) AS last_sequence FROM g WHERE NOT late AND matched GROUP BY ALL"
+SQL["engine_late"] = _AT_ONCE + """SELECT channel, ingress AS ingress_sequence, seq AS native_sequence, frontier + 1 AS committed_next_sequence, epoch AS observed_gap_epoch, 'behind_committed_frontier' AS reason, matched AS catalog_match,
+  CAST(2635 AS BIGINT) AS validity, CAST(8704 + CASE WHEN matched THEN 0 ELSE 128 END AS BIGINT) AS quality FROM g WHERE late"""
+SQL["stats_counters"] = _AT_ONCE + """SELECT count(*) + count(*) FILTER (ingress % 10 = 3) AS callbacks, count(*) AS admitted, count(*) FILTER (ingress % 10 = 3) AS rejected, count(*) AS decoded_ticks, CAST(0 AS BIGINT) AS decoded_snapshots,
+  CAST(0 AS BIGINT) AS dispatched_snapshots, count(*) FILTER (NOT late AND matched) AS dispatched_ticks, count(*) FILTER (late) AS duplicates_or_late, count(*) FILTER (late) AS late_recovery_dispatched, count(*) FILTER (is_gap) AS gaps_skipped,
+  CAST(0 AS BIGINT) AS from_open_channels_frozen, CAST(0 AS BIGINT) AS channel_faults_dispatched, CAST(0 AS BIGINT) AS decode_errors, count(*) FILTER (NOT matched) AS catalog_misses FROM g"""
 SQL["machine_conflicts"] = SQL["conflict_faults"].replace("SELECT c.channel, frozen_at, observed_sequence,", "SELECT c.channel, 'canonical_conflict' AS reason, observed_sequence,")
 
 SQL["sz_order_roundtrip"] = f"""WITH l AS ({_LINES}), v AS (SELECT *, cents - 500000 AS price, qty - 3 AS q,
@@ -419,7 +491,7 @@ SELECT channel, seq AS native_sequence, 'S' || l_suppkey AS security_id, CASE t
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        ordered_ticks, channel_gaps, late_recovery, gap_mailbox, gap_metadata_on_next, history_quality, catalog_continuity, stats_counters, order_check, pending_dups, reorder_delay, latency_percentiles, conflict_faults,
+        ordered_ticks, channel_gaps, late_recovery, gap_mailbox, gap_metadata_on_next, history_quality, catalog_continuity, order_check, engine_ticks, engine_owner, engine_late, stats_counters, stream_replay, pending_dups, reorder_delay, latency_percentiles, conflict_faults,
         partial_start, machine_events, machine_patient, machine_conflicts, bounded_recovery, partial_recovery, sh_tick_roundtrip, sz_order_roundtrip, sz_txn_roundtrip, p6_normalize, time_decode, null_sentinels,
         admission_results, book_top10, book_truncated, queue_validation, catalog_validate, owner_dispatch,
     )
