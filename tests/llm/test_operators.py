@@ -516,6 +516,35 @@ def test_licenses_without_their_rarest_words(spark):
     assert got == {k: v for k, v in want.items() if v >= 0.9} and (0, "GPL-3.0") in got
 
 
+def test_licenses_without_their_key_words(spark):
+    from tickline.llm.licenses import TEMPLATES, scan_licenses
+
+    texts = {
+        1: (TEMPLATES["BSD-text"].replace("Redistribution", "Reuse").replace("permitted", "allowed"), "BSD-text"),
+        2: (TEMPLATES["MIT-text"].replace("Permission", "Right"), "MIT-text"),
+        3: (" x" * 5000 + " " + TEMPLATES["ISC-text"].replace("copyright", "c") + " y" * 5000, "ISC-text"),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()] + [(4, None), (4, "")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["license"]) for r in scan_licenses(docs).collect()} == {(i, name) for i, (_, name) in texts.items()}
+    own = {"own": "alpha beta gamma delta epsilon zeta eta theta iota kappa"}
+    found = spark.createDataFrame([(1, "x alpha beta gamma delta other zeta eta theta iota kappa x")], "doc_id bigint, text string")
+    assert [r["coverage"] for r in scan_licenses(found, templates=own).collect()] == [0.9]
+    assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_archives_of_any_name(spark, tmp_path):
+    import gzip
+
+    from tickline.llm.arc import arc_record, convert, read_warc, version_block
+
+    whole = [version_block(1, "x.arc") + b"\n", *(arc_record(1, i, f"http://x/{i}", b"page\n" * 40, "x.arc", 0) + b"\n" for i in (3, 1, 2))]
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "x.arc.gz").write_bytes(b"".join(map(gzip.compress, whole)))
+    convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in read_warc(spark, str(tmp_path / "warc")).collect()}
+    assert got == {1: ("response", None), 2: ("revisit", 1), 3: ("revisit", 1)}
+
+
 def test_repeated_and_missing_ids(spark):
     from tickline.llm.jaccard_join import jaccard_components
     from tickline.llm.substring_dedup import dedup_substrings

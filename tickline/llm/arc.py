@@ -255,7 +255,8 @@ def _to_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    """The archives in a folder, whatever their names; files whose names begin with a dot or an underscore are none."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:

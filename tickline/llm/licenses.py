@@ -12,6 +12,7 @@ perfect one, a longest common subsequence from each first word decides.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
@@ -37,7 +38,7 @@ TEMPLATES: dict[str, str] = {
     "BSD-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
 }
-#: Words of which a stretch has at least one.
+#: Words of templates that are looked for before others, as they are rare elsewhere.
 KEY_WORDS = ("license", "licensed", "licence", "licenced", "copyright", "permission", "permitted", "redistribution")
 COVERAGE = 0.9
 
@@ -156,6 +157,14 @@ def _scan(names: list[str], templates: list[list[int]], keys: list[int], least:
     return scan
 
 
+def gate_words(template: str, least: float, prefer: Sequence[str]) -> list[str]:
+    """Words of the template of which every copy of that coverage has one: more of them than a copy may lack."""
+    found = dict.fromkeys(re.findall(r"[^\W_]+", template.lower()))
+    size = len(re.findall(r"[^\W_]+", template))
+    lacking, _ = _room(size, least)
+    return sorted(found, key=lambda w: (w not in prefer, -len(w), w))[: lacking + 1]
+
+
 def _room(size: int, least: float) -> tuple[int, int]:
     """How many of a template's words a copy may lack, and how many others it may hold."""
     return size - ceil(least * size - 1e-9), floor(size / least + 1e-9) - size
@@ -189,8 +198,9 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     Returns the id, license, coverage and the place in words (runs of letters,
     digits and other than ASCII, A-Z lower-cased); of several places the one
-    with the highest coverage, the first of equals. Every template has a key
-    word. Null and empty texts have no license. Rows with equal ids are scanned
+    with the highest coverage, the first of equals. Only stretches around words of
+    which every copy has one are aligned (see `gate_words`; key_words are taken
+    first). Null and empty texts have no license. Rows with equal ids are scanned
     each. Other columns are not read.
     """
 
@@ -199,6 +209,6 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         return tokens(raw[: off[-1]], off)[0].tolist()
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    scan = _scan(list(templates), [hashed(t) for t in templates.values()], [w for k in key_words for w in hashed(k)], coverage)
+    scan = _scan(list(templates), [hashed(t) for t in templates.values()], sorted({h for t in templates.values() for w in gate_words(t, coverage, key_words) for h in hashed(w)}), coverage)
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, f"id {id_type}, license string, coverage double, start_word int, end_word int")
     return out.withColumnRenamed("id", id_col)
