@@ -8,6 +8,9 @@ Jaccard similarity of 0.8 or more.
 What an operator decides holds for the rows with that id and that text: a hash of
 both is the key by which it comes back. So rows without an id are judged like all
 others, and rows with one id and different texts each for itself.
+
+Extra columns of documents, whatever their names, travel along in one struct and
+come out of each stage as they went in. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,12 +30,13 @@ KEY = "row_key"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+    """Key, id, text, and the whole row apart from them, so that no column of docs can clash."""
+    return docs.select(F.xxhash64("doc_id", "text").alias(KEY), "doc_id", "text", F.struct("*").alias("row"))
 
 
 def _without(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """docs without the rows whose key was `decided`."""
-    return _keyed(docs).join(decided.select(KEY).distinct().hint("shuffle_hash"), KEY, "left_anti").select(*docs.columns)
+    return _keyed(docs).join(decided.select(KEY).distinct().hint("shuffle_hash"), KEY, "left_anti").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,17 +58,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = cut(members.join(ids, KEY).groupBy("component_id").agg(first.alias("first")).select(f"first.{KEY}", "first.repeated"))
     rows = _keyed(docs).join(kept.hint("shuffle_hash"), KEY)
     if not kept.where("repeated").isEmpty():
-        order = Window.partitionBy(KEY).orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")))
-        rows = rows.withColumn("turn", F.row_number().over(order)).where("not repeated or turn = 1")
-    return rows.select(*docs.columns)
+        rows = rows.withColumn("turn", F.row_number().over(Window.partitionBy(KEY).orderBy("row"))).where("not repeated or turn = 1")
+    return rows.select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes the words of passages of 35 words that start anywhere else; a document keeps its row, with an id or without."""
     changed = dedup_substrings(_keyed(docs), id_col=KEY, window=35).where("n_removed > 0").select(KEY, F.coalesce("kept_text", F.lit("")).alias("kept"))
     joined = _keyed(docs).join(changed.dropDuplicates([KEY]).hint("shuffle_hash"), KEY, "left")
-    text = F.coalesce("kept", "text")
-    return joined.withColumn("n_chars", F.when(F.col("kept").isNotNull(), F.length("kept").cast("bigint")).otherwise(F.col("n_chars"))).withColumn("text", text).select(*docs.columns)
+    left = {"text": F.coalesce("kept", "text"), "n_chars": F.coalesce(F.length("kept").cast("bigint"), "row.n_chars")}
+    return joined.select(*(left.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,31 @@ def test_decontamination_without_and_with_repeated_ids(spark, tmp_path):
     rows += [(None, None), (1, "")]
     got = rows_of(p.decontamination(spark, frame(spark, rows), str(tmp_path)))
     assert got == collections.Counter(r for r in rows if " ".join(item) not in (r[1] or ""))
+
+
+def test_clashing_columns_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rng = random.Random(25)
+    item, passage = words(rng, 30), words(rng, 40)
+    spark.createDataFrame([(0, " ".join(item))], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    texts = [words(rng, 50) for _ in range(6)]
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)]
+    rows += [(7, " ".join(texts[0]), "en", "s", 0), (8, " ".join(texts[0][:20] + passage), "en", "s", 0), (9, " ".join(texts[1][:20] + passage), "en", "s", 0), (10, " ".join(item), "en", "s", 0)]
+    names = [p.KEY, "component_id", "copies", "first", "kept", "last", "n", "n_removed", "predicted", "repeated", "row", "score", "turn"]
+    docs = spark.createDataFrame([(*r, *(f"{n} {r[0]}" for n in names)) for r in rows], ", ".join([DOCS, *(f"{n} string" for n in names)])).repartition(2)
+    ids = {"quality": set(range(11)) - {6}, "near_duplicates": {0, 1, 2, 3, 4, 5, 8, 9, 10}, "repeated_passages": set(range(11)) - {6}, "decontamination": set(range(10)) - {6}}
+    for name, expected in ids.items():
+        got = getattr(p, name)(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        found = got.collect()
+        assert sorted(r["doc_id"] for r in found) == sorted(expected), name
+        assert all(r[n] == f"{n} {r['doc_id']}" for r in found for n in names)
+        if name == "repeated_passages":
+            kept = {r["doc_id"]: r["text"] for r in found}
+            assert kept[8] == " ".join(texts[0][:20]) and kept[0] == "" and kept[2] == " ".join(texts[2])
+        empty = getattr(p, name)(spark, docs.where("false"), str(tmp_path))
+        assert empty.columns == docs.columns and empty.count() == 0
+    assert p.mixing(spark, docs, str(tmp_path)).count() == len(rows)
+    assert p.mixing(spark, docs.where("false"), str(tmp_path)).count() == 0
