@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,9 @@ from tickline.llm.text import U, chunks, gram_hash, mix, owner, prefix_sums, spa
 #: Salts of the global orders; order i sorts shingles by mix(shingle ^ salt).
 ORDERS = (0x2545F4914F6CDD1D, 0x9E6C63D0676A9A99, 0xD1342543DE82EF95)
 #: Records that a task holds before it sends them.
-HELD = 1 << 20
+HELD = 1 << 19
+#: Bytes of packed sets that a task works on at a time, unless one set is longer.
+SET_BYTES = 2 << 20
 #: Bits of the map that keeps documents without links out of the exchange of sets: 1 MB, whatever the input.
 MARKS = 1 << 23
 #: Slots of the table of shingle frequencies (4 MB), and the pieces in which it is added up.
@@ -252,15 +255,27 @@ def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return g, owner(edge), edge
 
 
+def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose packed sets in `column` hold about SET_BYTES together."""
+    off = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(), dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        before = int(off[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(off, before + SET_BYTES, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _send_sets(buckets: int, salt: int, percent: int):  # noqa: ANN202
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Meeting(buckets)
         for batch in batches:
-            g, d, edge = _sets(batch.column(1))
-            token, row = prefixes(g, d, edge, salt, prefix_length(np.diff(edge), percent))
-            out.add(token, batch.column(0).to_numpy()[row])
-            if out.held > HELD:
-                yield from out.flush()
+            for part in _parts(batch, 1):
+                g, d, edge = _sets(part.column(1))
+                token, row = prefixes(g, d, edge, salt, prefix_length(np.diff(edge), percent))
+                out.add(token, part.column(0).to_numpy()[row])
+                if out.held > HELD:
+                    yield from out.flush()
         yield from out.flush()
 
     return send
@@ -297,8 +312,9 @@ def _send_counts(width: int):  # noqa: ANN202
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, dtype=np.uint32)
         for batch in batches:
-            g, _, _ = _sets(batch.column(0))
-            np.add.at(total, (mix(g) & U(width - 1)).astype(np.int64), 1)
+            for part in _parts(batch, 0):
+                g, _, _ = _sets(part.column(0))
+                np.add.at(total, (mix(g) & U(width - 1)).astype(np.int64), 1)
         raw = np.minimum(total, 255).astype(np.uint8).reshape(PIECES, -1)
         pieces = [i for i in range(PIECES) if raw[i].any()]
         yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), pa.array([zlib.compress(raw[i].tobytes(), 1) for i in pieces], pa.binary())], names=["piece", "counts"])
@@ -343,11 +359,12 @@ def _send_rare(buckets: int, percent: int, sketch: Broadcast):  # noqa: ANN202
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Meeting(buckets)
         for batch in batches:
-            g, d, edge = _sets(batch.column(1))
-            token, row = rare_first(g, d, edge, sketch.value, prefix_length(np.diff(edge), percent))
-            out.add(token, batch.column(0).to_numpy()[row])
-            if out.held > HELD:
-                yield from out.flush()
+            for part in _parts(batch, 1):
+                g, d, edge = _sets(part.column(1))
+                token, row = rare_first(g, d, edge, sketch.value, prefix_length(np.diff(edge), percent))
+                out.add(token, part.column(0).to_numpy()[row])
+                if out.held > HELD:
+                    yield from out.flush()
         yield from out.flush()
 
     return send
@@ -384,8 +401,7 @@ def signatures(g: np.ndarray, d: np.ndarray, edge: np.ndarray, percent: int) ->
 def _sign(percent: int):  # noqa: ANN202
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
+            for part in _parts(batch, 1):
                 g, d, edge = _sets(part.column(1))
                 raw = signatures(g, d, edge, percent)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([r.tobytes() for r in raw], pa.binary())], names=["class", "shingles", "n", "signature"])
@@ -398,12 +414,13 @@ def _bucket_rows(percent: int, sketch: Broadcast):  # noqa: ANN202
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g, d, edge = _sets(batch.column(1))
-            n = np.diff(edge)
-            length = n - overlap_needed(n, percent) + 1
-            token, row = rare_first(g, d, edge, sketch.value, length)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(place.astype(np.int32))], names=["token", "class", "place"])
+            for part in _parts(batch, 1):
+                g, d, edge = _sets(part.column(1))
+                n = np.diff(edge)
+                length = n - overlap_needed(n, percent) + 1
+                token, row = rare_first(g, d, edge, sketch.value, length)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), part.column(0).take(pa.array(row)), pa.array(place.astype(np.int32))], names=["token", "class", "place"])
 
     return rows
 

@@ -17,8 +17,8 @@ BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
-#: Bytes of text that one chunk holds, unless a single document is longer.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text that one chunk holds, unless a single document is longer: what fits the tables of powers of 2**19.
+CHUNK_BYTES = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -106,6 +106,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         hi = min(hi, n, lo + 65536)
         yield lo, hi, raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
         lo = hi
+    # workers are used again, and would keep the room of their largest batch
+    pa.default_memory_pool().release_unused()
 
 
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
