@@ -141,19 +141,19 @@ def fit(x: np.ndarray, y: np.ndarray, names: Sequence[str], *, trees: int = 40,
     base = float(np.log(y.mean() / (1 - y.mean())))
     margin = np.full(len(y), base)
     found: dict[tuple, np.ndarray] = {}
-    least = max(5, len(y) // 1000)
+    least, everyone = max(5, len(y) // 1000), np.arange(len(y))
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
         for tests, rows, value in _grow(binned, p - y, p * (1 - p), depth, bins, least):
             if tests:
-                found.setdefault(tuple(sorted(tests)), rows.astype(np.int32))
+                found.setdefault(tuple(sorted(tests)), np.packbits(np.isin(everyone, rows, assume_unique=True)))
             if value == value:
                 margin[rows] += rate * value
     rules = list(found)
     # one matrix in single precision, standardised in place: the driver has little memory
     z = np.zeros((len(y), len(rules)), dtype=np.float32)
     for k, tests in enumerate(rules):
-        z[found.pop(tests), k] = 1
+        z[:, k] = np.unpackbits(found.pop(tests), count=len(y))
     mean = z.mean(axis=0)
     scale = np.sqrt(mean * (1 - mean)) + np.float32(1e-6)
     z -= mean
@@ -204,7 +204,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     turn = F.xxhash64("id", F.lit(7))
     early = marks.withColumn("turn", turn).where(F.col("turn") <= min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
     sample = stats.join(early, "id").orderBy("turn", "y").limit(fit_rows).select(*STATS, "y")
-    rows = sample.toPandas()
-    model = fit(rows[list(STATS)].to_numpy(float), rows["y"].to_numpy(float), STATS)
+    rows = sample.toArrow()
+    model = fit(np.column_stack([rows[name].to_numpy() for name in STATS]), rows["y"].to_numpy().astype(float), STATS)
     out = stats.select(F.col("id").alias(id_col), *(F.col("key").alias(key_col) for _ in key), (fold("id") == 0).alias("held_out"), model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
