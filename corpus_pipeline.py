@@ -82,7 +82,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_duplicates), ("substring dedup", repeated_passages), ("benchmark decontamination", decontamination), ("mixing sources", mixing)]
 
-#: SQL cannot express the fitted classifier; each stage is tested on small tables with known answers instead.
+#: SQL cannot express the fitted classifier; the other stages are tested against brute force, and the classifier by its statistics and held-out labels.
 ORACLE_SQL = None
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import os
 import random
+import re
+import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 DOC = "doc_id bigint, text string, source string, key string, s string, n int"
@@ -296,6 +300,45 @@ def test_quality(spark):
     assert not fit(np.zeros((60, 2)), np.ones(60), ["a", "b"]).rules
 
 
+def plain_statistics(text):
+    """The statistics of one text, counted one by one."""
+    data = (text or "").encode()
+    w = re.split(rb"[\x20\x09-\x0D]+", data)
+    w = [x for x in w if x]
+    lines = re.findall(rb"[^\n]*\n|[^\n]+", data)
+    share = lambda chars: sum(c in chars for c in data) / max(1, len(data))
+    many, five = max(1, len(w)), {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    out = [np.log1p(len(w)), sum(map(len, w)) / many]
+    out += [share(c) for c in (string.ascii_uppercase.encode(), b"0123456789", b".", b",", b"!?", b"|", b"#$%&*@^~<>{}[]\\=+_", b"\n", b" \t\r\x0b\x0c", bytes(range(128, 256)))]
+    out += [len(set(w)) / many, max(collections.Counter(w).values(), default=0) / many, sum(a == b for a, b in zip(w, w[1:], strict=False)) / many, len(five) / max(1, len(w) - 4)]
+    return [*out, len(set(lines)) / max(1, len(lines)), len(w) / max(1, len(lines)), len(w) / (data.count(b".") + 1)]
+
+
+def test_statistics():
+    from tickline.llm.quality import statistics
+    from tickline.llm.text import chunks
+
+    rng = random.Random(41)
+    texts = ["".join(rng.choices(["a", "b", "word", "Word", " ", " ", "\n", "\t", ".", ",", "|", "é", "7", "$"], k=rng.randint(0, 80))) for _ in range(300)]
+    texts += [None, "", "\n", "a\n", "a\n\n", " ", "x " * 50_000, *(r[1] for r in corpus())]
+    got = np.concatenate([statistics(data, off) for _, _, data, off in chunks(pa.array(texts))])
+    assert np.allclose(got, [plain_statistics(t) for t in texts], rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
+def test_quality_of_held_out_labels(spark):
+    """On the labels of the fold that the fit never sees: most are predicted, and the scores put them in order."""
+    from tickline.llm.queries import op9_rule_ensemble_quality
+
+    sf = "/root/testdata/sf0.01"
+    marks = spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null")
+    rows = op9_rule_ensemble_quality(spark, sf).where("held_out").join(marks, "doc_id").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == y] for y in (1, 0))
+    assert len(good) > 30 and len(bad) > 5
+    assert sum(r["predicted"] == r["quality"] for r in rows) / len(rows) > 0.9
+    assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)) > 0.95
+
+
 def test_nearest(spark):
     from tickline.llm.ann import nearest
 
