@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.functions import wire
-from tickline.functions.fixed import KINDS, NULL_I64, SH_SNAPSHOT, SH_TICK, SZ_ORDER, SZ_SNAPSHOT, SZ_TRANSACTION, Kind
+from tickline.functions.fixed import KINDS, NULL_I32, NULL_I64, SH_SNAPSHOT, SH_TICK, SZ_ORDER, SZ_SNAPSHOT, SZ_TRANSACTION, Kind
 from tickline.operators import dispatch, recovery
 from tickline.operators.admit import admit
 from tickline.operators.catalog import match, problems
@@ -304,9 +304,22 @@ def admission_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- books
 
+# Where a snapshot's prices and share counts stand in its body.
+_HEADER_PRICES = {
+    "SH": {"previous_close": 14, "open": 18, "high": 22, "low": 26, "last": 30, "close": 34, "weighted_average_bid": 72, "weighted_average_ask": 88},
+    "SZ": {"previous_close": 32, "last": 64, "open": 72, "high": 80, "low": 88, "weighted_average_ask": 152, "weighted_average_bid": 168},
+}
+_HEADER_SHARES = {"SH": {"volume": 48, "total_bid_quantity": 64, "total_ask_quantity": 80}, "SZ": {"volume": 48, "total_ask_quantity": 144, "total_bid_quantity": 160}}
+#: The least price of the queries' headers, before the place and the part are added.
+_HEADER_BASE = {"SH": 10_000, "SZ": 10_000_000}
+
 
-def _book_frames(spark: SparkSession, sf_dir: str, kind: Kind) -> DataFrame:
-    """One snapshot for each part, odd ones of Shanghai and even ones of Shenzhen: its line items are the levels of the bids, with queues of one to three orders."""
+def _book_frames(spark: SparkSession, sf_dir: str, kind: Kind, *, full: bool = False) -> DataFrame:
+    """One snapshot for each part, odd ones of Shanghai and even ones of Shenzhen: its line items are the levels of the bids, with queues of one to three orders.
+
+    With `full`, the asks have the same levels the other way round, without queues,
+    and each header value is one of its own.
+    """
     sh = kind == SH_SNAPSHOT
     item, depth = (16, 236) if sh else (8, 216)
     lines = _lines(spark, sf_dir).where("l_partkey % 2 = 1" if sh else "l_partkey % 2 = 0").select("l_partkey", F.struct("cents", "qty", "seq", "l_suppkey").alias("x"))
@@ -325,8 +338,14 @@ def _book_frames(spark: SparkSession, sf_dir: str, kind: Kind) -> DataFrame:
         one = F.concat(F.lit("00" * 8) if sh else F.lit(""), encode.little_endian(v.qty - 3, 8))
         return F.array_join(F.transform(F.sequence(F.lit(1), (v.qty % 3 + 1).cast("int")), lambda _: one), "")
 
+    def ask(v: Column) -> Column:
+        p, q = v.cents % 900_000 + 1, v.qty + 7
+        parts = [F.lit("00" * 4), encode.little_endian(p, 4), encode.little_endian(q, 8)] if sh else [encode.little_endian(q, 8), encode.little_endian(p, 8)]
+        return F.concat(*parts, encode.little_endian(v.qty % 5, 4), F.lit("00" * 8))
+
     items = F.concat(F.array_join(F.transform("levels", level), ""), F.array_join(F.transform("levels", queue), ""))
-    book = books.select("l_partkey", n.cast("bigint").alias("n"), items.alias("items"))
+    asks = F.array_join(F.transform(F.reverse("levels"), ask), "") if full else F.lit("")
+    book = books.select("l_partkey", n.cast("bigint").alias("n"), items.alias("items"), asks.alias("asks"))
     sec = security(F.col("l_partkey"))
     if sh:
         fields = {0: (F.lit(93_001_000), 4), 10: (F.lit(1), 4), **{at: (F.lit(12345), 4) for at in (14, 18, 22, 26, 30, 34)}, 44: (F.col("n"), 4), 48: (F.lit(1000), 8), 56: (F.col("l_partkey") * 100_000, 8), 64: (F.lit(400), 8), 72: (F.lit(12340), 4), 80: (F.lit(500), 8), 88: (F.lit(12350), 4)}
@@ -334,13 +353,26 @@ def _book_frames(spark: SparkSession, sf_dir: str, kind: Kind) -> DataFrame:
     else:
         fields = {0: (F.lit(93_001_500), 4), 4: (F.lit(7), 4), 32: (F.lit(123_400), 8), 40: (F.col("n"), 8), 48: (F.lit(2000), 8), 56: (F.col("l_partkey") * 10_000, 8), **{at: (F.lit(12_340_000), 8) for at in (64, 72, 80, 88)}, 144: (F.lit(700), 8), 152: (F.lit(12_350_000), 8), 160: (F.lit(600), 8), 168: (F.lit(12_330_000), 8)}
         texts = {8: F.lit("010"), 14: sec, 20: F.lit("102"), 26: F.lit("T0")}
+    if full:
+        k, size, most = F.col("l_partkey"), 4 if sh else 8, NULL_I32 if sh else NULL_I64
+        places = _HEADER_PRICES[kind.market].values()
+        fields |= {at: (_HEADER_BASE[kind.market] + at + k % 1000, size) for at in places}
+        fields |= {at: (at + k, 8) for at in _HEADER_SHARES[kind.market].values()}
+        fields[_HEADER_PRICES[kind.market]["open"]] = (F.when(k % 7 != 0, _HEADER_BASE[kind.market] + k % 1000).otherwise(0), size)
+        fields[_HEADER_PRICES[kind.market]["high"]] = (F.when(k % 11 != 0, _HEADER_BASE[kind.market] + k % 1000).otherwise(F.lit(most)), size)
+        if sh:
+            fields[10] = (k % 3, 4)
+            texts[38] = F.when(k % 3 != 0, "TRADE").otherwise("")
+        else:
+            fields[4] = (k % 5 + 1, 4)
     # the list of bids comes last, its queues right behind it; only the levels count as its items
-    content = encode.body(kind, fields, texts, {depth - 8: (F.col("n"), 28, F.col("items"))})
+    lists = {depth: (F.col("n"), 28, F.col("asks"))} if full else {}
+    content = encode.body(kind, fields, texts, lists | {depth - 8: (F.col("n"), 28, F.col("items"))})
     return encode.frames(book, kind, content, ingress=F.col("l_partkey"), receive_ns=F.col("l_partkey"))
 
 
-def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = _book_frames(spark, sf_dir, SH_SNAPSHOT).unionByName(_book_frames(spark, sf_dir, SZ_SNAPSHOT))
+def _books(spark: SparkSession, sf_dir: str, *, full: bool = False) -> DataFrame:
+    frames = _book_frames(spark, sf_dir, SH_SNAPSHOT, full=full).unionByName(_book_frames(spark, sf_dir, SZ_SNAPSHOT, full=full))
     return decode_snapshots(admit(frames))
 
 
@@ -353,6 +385,19 @@ def book_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _books(spark, sf_dir).select("market", F.col("ingress_sequence").alias("part"), "source_bid_depth", F.size("bids").cast("bigint").alias("retained"), (F.col("quality").bitwiseAND(F.lit(64)) > 0).alias("truncated"), F.col("turnover.p6").alias("turnover_p6"), "trade_count")
 
 
+def book_asks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _books(spark, sf_dir, full=True).select("market", F.col("ingress_sequence").alias("part"), "source_ask_depth", F.posexplode("asks").alias("level", "a"))
+    return x.select("market", "part", "source_ask_depth", F.col("level").cast("bigint").alias("level"), F.col("a.price.raw").alias("price"), F.col("a.price.p6").alias("price_p6"), F.col("a.quantity.raw").alias("quantity"), F.col("a.quantity.scale").cast("int").alias("scale"), F.col("a.order_count").alias("order_count"))
+
+
+def snapshot_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything of a snapshot but its levels."""
+    prices = [F.col(f"{name}.{part}").alias(f"{name}_{part}") for name in _HEADER_PRICES["SH"] for part in ("p6", "p6_valid")]
+    shares = [F.col(f"{name}.raw").alias(name) for name in _HEADER_SHARES["SH"]]
+    plain = ["security_id", "security_id_source", "md_stream_id", "channel", "vendor_local_time_ns", "exchange_time_ns", "trade_count", "image_status_valid", "instrument_status_code", "trading_phase_code", "quality"]
+    return _books(spark, sf_dir, full=True).select("market", F.col("ingress_sequence").alias("part"), *plain, F.col("image_status").cast("int").alias("image_status"), F.col("high.raw_valid").alias("high_raw_valid"), F.col("turnover.p6").alias("turnover_p6"), *prices, *shares)
+
+
 def queue_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _books(spark, sf_dir).select("market", F.col("ingress_sequence").alias("part"), (F.col("quality").bitwiseAND(F.lit(4)) > 0).alias("bad_quantity"), (F.col("quality").bitwiseAND(F.lit(8)) > 0).alias("bad_price"), F.coalesce("decode_error", F.lit("none")).alias("decode_error"))
 
@@ -361,6 +406,37 @@ _BOOK = f"""WITH l AS ({_LINES}),
 b AS (SELECT CASE WHEN l_partkey % 2 = 1 THEN 'SH' ELSE 'SZ' END AS market, l_partkey AS part, cents, qty, seq, l_suppkey,
       row_number() OVER (PARTITION BY l_partkey ORDER BY cents, qty, seq, l_suppkey) - 1 AS level FROM l)"""
 
+
+
+def _header_sql() -> str:
+    """Each header value by its rule, for both markets."""
+
+    def price(market: str, name: str) -> tuple[str, str]:
+        if name not in _HEADER_PRICES[market]:
+            return "0", "false"
+        at, base = _HEADER_PRICES[market][name], _HEADER_BASE[market]
+        scale = 1000 if market == "SH" else 100 if name == "previous_close" else 1
+        absent = {"open": "part % 7 = 0", "high": "part % 11 = 0"}.get(name)
+        value = f"({base} + part % 1000{'' if absent else f' + {at}'}) * {scale}"
+        return (f"CASE WHEN {absent} THEN 0 ELSE {value} END", f"NOT ({absent})") if absent else (value, "true")
+
+    def of(market: str) -> str:
+        sh = market == "SH"
+        plain = {
+            "security_id": "'S' || part", "security_id_source": "''" if sh else "'102'", "md_stream_id": "''" if sh else "'010'", "channel": "CAST(0 AS BIGINT)" if sh else "part % 5 + 1", "vendor_local_time_ns": "CAST(34200000000000 AS BIGINT)",
+            "exchange_time_ns": "CAST(34201000000000 AS BIGINT)" if sh else "CAST(34201500000000 AS BIGINT)", "trade_count": "n", "image_status_valid": "true" if sh else "false",
+            "instrument_status_code": "CASE WHEN part % 3 = 0 THEN '' ELSE 'TRADE' END" if sh else "''", "trading_phase_code": "''" if sh else "'T0'", "image_status": f"CAST({'part % 3' if sh else '0'} AS INTEGER)", "high_raw_valid": "part % 11 <> 0", "turnover_p6": "part * 1000000",
+            "quality": "CAST(CASE WHEN part % 11 = 0 THEN 1 ELSE 0 END + CASE WHEN bad_quantity THEN 4 ELSE 0 END + CASE WHEN bad_price OR part % 7 = 0 THEN 8 ELSE 0 END + CASE WHEN n > 10 THEN 64 ELSE 0 END AS BIGINT)",
+        }
+        for name in _HEADER_PRICES["SH"]:
+            value, there = price(market, name)
+            plain |= {f"{name}_p6": f"CAST({value} AS BIGINT)", f"{name}_p6_valid": there}
+        plain |= {name: f"part + {at}" for name, at in _HEADER_SHARES[market].items()}
+        return f"SELECT market, part, {', '.join(f'{plain[name]} AS {name}' for name in sorted(plain))} FROM h WHERE market = '{market}'"
+
+    return _BOOK + ", h AS (SELECT market, part, count(*) AS n, bool_or(qty < 3) AS bad_quantity, bool_or(cents % 900000 - 1000 <= 0) AS bad_price FROM b GROUP BY market, part) " + of("SH") + " UNION ALL " + of("SZ")
+
+
 # ---- catalog and dispatch
 
 
@@ -433,6 +509,10 @@ SELECT o_orderkey, raw, CASE WHEN raw // 10000000 < 24 AND raw // 100000 % 100 <
   qty - 2 AS quantity, qty >= 2 AS quantity_valid, CAST(3 AS BIGINT) AS order_count FROM b WHERE level < 10""",
     "book_truncated": _BOOK + """SELECT market, part, count(*) AS source_bid_depth, CAST(least(count(*), 10) AS BIGINT) AS retained, count(*) > 10 AS truncated,
   part * 1000000 AS turnover_p6, count(*) AS trade_count FROM b GROUP BY market, part""",
+    "book_asks": _BOOK + """, a AS (SELECT *, count(*) OVER (PARTITION BY part) AS n FROM b)
+SELECT market, part, n AS source_ask_depth, n - 1 - level AS level, cents % 900000 + 1 AS price, (cents % 900000 + 1) * CASE WHEN market = 'SH' THEN 1000 ELSE 1 END AS price_p6, qty + 7 AS quantity,
+  CASE WHEN market = 'SH' THEN 3 ELSE 0 END AS scale, qty % 5 AS order_count FROM a WHERE n - 1 - level < 10""",
+    "snapshot_headers": _header_sql(),
     "queue_validation": _BOOK + "SELECT market, part, bool_or(qty < 3) AS bad_quantity, bool_or(cents % 900000 - 1000 <= 0) AS bad_price, 'none' AS decode_error FROM b GROUP BY market, part",
     "catalog_validate": """WITH d AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 29 = 0 THEN 'HK' WHEN s_suppkey % 2 = 1 THEN 'SH' ELSE 'SZ' END AS market,
   CASE WHEN s_suppkey % 23 = 0 OR s_suppkey % 2 = 1 THEN '' ELSE '102' END AS source, CASE WHEN s_suppkey % 17 = 0 THEN '' WHEN s_suppkey % 19 = 0 THEN 'S1' ELSE 'S' || s_suppkey END AS security FROM supplier),
@@ -493,6 +573,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         ordered_ticks, channel_gaps, late_recovery, gap_mailbox, gap_metadata_on_next, history_quality, catalog_continuity, order_check, engine_ticks, engine_owner, engine_late, stats_counters, stream_replay, pending_dups, reorder_delay, latency_percentiles, conflict_faults,
         partial_start, machine_events, machine_patient, machine_conflicts, bounded_recovery, partial_recovery, sh_tick_roundtrip, sz_order_roundtrip, sz_txn_roundtrip, p6_normalize, time_decode, null_sentinels,
-        admission_results, book_top10, book_truncated, queue_validation, catalog_validate, owner_dispatch,
+        admission_results, book_top10, book_truncated, book_asks, snapshot_headers, queue_validation, catalog_validate, owner_dispatch,
     )
 }
