@@ -204,3 +204,26 @@ def test_empty_tables(spark):
     out = run(spark.createDataFrame([], f.SCHEMA), f.catalog(spark), OPEN)
     assert out.ticks.count() == out.snapshots.count() == out.gaps.count() == 0
     assert out.stats().first()["callbacks"] == 0
+
+
+def test_reported_results(spark):
+    rows = f.table(spark, [f.sh_tick(1), f.sh_tick(2), (*f.sh_tick(3)[:1], bytes(600)), f.sh_tick(4)])
+    i = rows.agg({"ingress_sequence": "max"}).first()[0]
+    whole = {r["ingress_sequence"]: r for r in rows.collect()}[i]
+    odd = [(i + 1, 1, None, None), (i + 2, 1, None, whole["body"]), (i + 3, 1, whole["header"], None), (i + 4, 1, b"\x16" + bytes(whole["header"][1:]), whole["body"]), (i + 5, 1, whole["header"][:20], whole["body"])]
+    out = run(rows.unionByName(spark.createDataFrame(odd, f.SCHEMA)), f.catalog(spark), OPEN)
+    got = [(r["reported_result"], r["reaches_engine"]) for r in out.reported().orderBy("ingress_sequence").collect()]
+    assert got == [("accepted", True), ("accepted", True), ("body_too_large", True), ("not_running", True), ("null_message", False), ("header_truncated", False), ("body_truncated", False), ("header_invalid", False), ("not_running", True)]
+    healthy = run(rows.limit(0), f.catalog(spark), OPEN)
+    assert healthy.first_fault() is None and healthy.reported().count() == 0
+
+
+def test_channel_capacity(spark):
+    frames = f.table(spark, [f.sh_tick(1), f.sh_tick(1, channel=2), f.sh_tick(2), f.sh_tick(1, channel=3), f.sh_tick(2, channel=3)])
+    out = run(frames, f.catalog(spark), EngineConfig(maximum_channels=2))
+    assert [r["fault"] for r in out.engine_faults.collect()] == ["channel_capacity"]
+    assert run(frames, f.catalog(spark), EngineConfig(maximum_channels=3)).first_fault() is None
+    with pytest.raises(RuntimeError, match="channel_capacity"):
+        strict(out)
+    with pytest.raises(ValueError, match="maximum_channels"):
+        EngineConfig(maximum_channels=0)

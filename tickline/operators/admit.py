@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickline.functions.fixed import KINDS, Kind
+from tickline.functions.fixed import HEADER_BYTES, KINDS, Kind
 from tickline.functions.unpack import scanned
 from tickline.plans.config import EngineConfig
 
@@ -30,5 +30,20 @@ def admit(frames: DataFrame, config: EngineConfig | None = None) -> DataFrame:
     return scanned(frames, config.streams, config.maximum_tick_body_bytes, config.maximum_snapshot_body_bytes)
 
 
+def as_reported(admitted: DataFrame, first_fault: int | None = None) -> DataFrame:
+    """Adds what a live engine behind a vendor's callback reports for each frame, and whether the frame gets to the engine.
+
+    The callback turns away a frame that is null as a whole (`null_message`), a
+    null header, a header with wrong sizes, and a null body where the header
+    announces one (`body_truncated`). The engine takes nothing after the frame
+    `first_fault`, the ingress sequence of its first fault: `not_running`.
+    """
+    lost, sizes = F.col("header").isNull(), (F.col("head_size") != HEADER_BYTES) | (F.col("message_size") < HEADER_BYTES)
+    callback = F.when(lost & F.col("body").isNull(), "null_message").when(lost, "header_truncated").when(sizes, "header_invalid").when(F.col("body").isNull() & (F.col("message_size") != HEADER_BYTES), "body_truncated")
+    after = F.lit(False) if first_fault is None else F.col("ingress_sequence") > first_fault
+    engine = F.when(after, "not_running").otherwise(F.col("admission_result"))
+    return admitted.withColumns({"reported_result": F.coalesce(callback, engine), "reaches_engine": callback.isNull()})
+
+
 def accepted(admitted: DataFrame, kinds: Iterable[Kind] = KINDS) -> DataFrame:
     return admitted.where((F.col("admission_result") == "accepted") & F.col("kind").isin([k.name for k in kinds]))

@@ -28,6 +28,8 @@ class EngineConfig:
     maximum_text_bytes: int = MAX_TEXT_BYTES
     maximum_depth_items: int = MAX_DEPTH_ITEMS
     maximum_queue_items: int = MAX_QUEUE_ITEMS
+    #: Channels that a live engine has room for; None for any number.
+    maximum_channels: int | None = None
 
     def __post_init__(self) -> None:
         self.validate()
@@ -53,6 +55,8 @@ class EngineConfig:
             raise ValueError("reorder_entries must be a power of two and at least maximum_span")
         if not 0 < self.maximum_text_bytes <= MAX_TEXT_BYTES or self.maximum_depth_items < 1 or self.maximum_queue_items < 1:
             raise ValueError("decoder limits are invalid")
+        if self.maximum_channels is not None and self.maximum_channels < 1:
+            raise ValueError("maximum_channels must be positive")
         if self.initial_hold_ns < 0 or any(w is not None and w < 0 for w in (self.partial_wait_ns, self.from_open_wait_ns)):
             raise ValueError("waits must not be negative")
 

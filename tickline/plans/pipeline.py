@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tickline.operators import dispatch
-from tickline.operators.admit import admit
+from tickline.operators.admit import admit, as_reported
 from tickline.operators.catalog import match
 from tickline.operators.decode_snapshot import decode_snapshots
 from tickline.operators.decode_tick import decode_ticks
@@ -35,6 +35,15 @@ class Outputs:
     def stats(self) -> DataFrame:
         return dispatch.counters(self.admitted, self.decoded, self.all_snapshots, self.events)
 
+    def first_fault(self) -> Row | None:
+        """The first of engine_faults, which is what a live engine stops at; None for a healthy one."""
+        return self.engine_faults.orderBy("ingress_sequence", "fault").first()
+
+    def reported(self) -> DataFrame:
+        """The admitted frames with the result that a live engine reports (see `as_reported`)."""
+        first = self.first_fault()
+        return as_reported(self.admitted, None if first is None else first["ingress_sequence"])
+
 
 def run(frames: DataFrame, catalog: DataFrame, config: EngineConfig | None = None, *, flush: bool = True, folder: str | None = None) -> Outputs:
     """Plans a run. Ticks are matched with the catalog before recovery and filtered after it, so that a foreign record still holds its place.
@@ -63,11 +72,16 @@ def run(frames: DataFrame, catalog: DataFrame, config: EngineConfig | None = Non
     fatal = admitted.where("admission_result = 'body_too_large'").select("ingress_sequence", F.lit("body_too_large").alias("fault"))
     if config.mode == FROM_OPEN:
         fatal = fatal.unionByName(decoded.where("decode_error is not null and native_sequence <= 0").select("ingress_sequence", F.lit("invalid_native_position").alias("fault")))
+    if config.maximum_channels is not None:
+        opened = decoded.where("native_sequence > 0").groupBy("market", "channel").agg(F.min("ingress_sequence").alias("ingress_sequence"))
+        # one row for each channel
+        turn = F.row_number().over(Window.orderBy("ingress_sequence", "market", "channel"))
+        fatal = fatal.unionByName(opened.withColumn("turn", turn).where(F.col("turn") > config.maximum_channels).select("ingress_sequence", F.lit("channel_capacity").alias("fault")))
     return Outputs(admitted, decoded, events, owned, snapshots, late_ticks(decoded, events), gaps, faults, admitted.where("admission_result != 'accepted'"), fatal, every)
 
 
 def strict(outputs: Outputs) -> None:
     """Raises RuntimeError if the data holds what would stop a live engine."""
-    first = outputs.engine_faults.orderBy("ingress_sequence").first()
+    first = outputs.first_fault()
     if first is not None:
         raise RuntimeError(f"{first['fault']} at ingress sequence {first['ingress_sequence']}")

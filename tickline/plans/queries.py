@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,6 +110,25 @@ def stats_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _engine(spark, sf_dir).stats()
 
 
+def live_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a live engine reports for frames of which some are too large for it, and some have no header, no body or neither."""
+    frames = _event_frames(spark, sf_dir)
+    i = F.col("ingress_sequence")
+    longer = F.concat("body", F.unhex(F.lit("00" * 512)))
+    large = frames.where(i % 700 == 650).withColumn("body", longer).withColumn("header", encode.header(SH_TICK, F.octet_length("body"), F.lit(93_000_000), F.col("receive_monotonic_ns")))
+    whole = frames.where(i < 1_000_000_000)
+    part = lambda at, *lost: whole.where(i % 50 == at).withColumns({c: F.lit(None).cast("binary") for c in lost} | {"ingress_sequence": i + 2_000_000_000})
+    every = [frames.where((i % 700 != 650) | (i >= 1_000_000_000)), large.where(i < 1_000_000_000), part(7, "header", "body"), part(8, "header"), part(9, "body")]
+    out = run(reduce(DataFrame.unionByName, every), _event_catalog(spark), AT_ONCE)
+    return out.reported().groupBy("reported_result", "reaches_engine").agg(F.count("*").alias("frames"), F.min("ingress_sequence").alias("first_ingress"))
+
+
+def channel_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channels that an engine with room for three has no place for."""
+    config = replace(AT_ONCE, maximum_channels=3)
+    return run(_event_frames(spark, sf_dir), _event_catalog(spark), config).engine_faults
+
+
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same frames as a stream of files in three batches, recovered without a wait."""
     folder = work_folder(spark, "replay")
@@ -535,6 +555,13 @@ SQL["engine_late"] = _AT_ONCE + """SELECT channel, ingress AS ingress_sequence,
 SQL["stats_counters"] = _AT_ONCE + """SELECT count(*) + count(*) FILTER (ingress % 10 = 3) AS callbacks, count(*) AS admitted, count(*) FILTER (ingress % 10 = 3) AS rejected, count(*) AS decoded_ticks, CAST(0 AS BIGINT) AS decoded_snapshots,
   CAST(0 AS BIGINT) AS dispatched_snapshots, count(*) FILTER (NOT late AND matched) AS dispatched_ticks, count(*) FILTER (late) AS duplicates_or_late, count(*) FILTER (late) AS late_recovery_dispatched, count(*) FILTER (is_gap) AS gaps_skipped,
   CAST(0 AS BIGINT) AS from_open_channels_frozen, CAST(0 AS BIGINT) AS channel_faults_dispatched, CAST(0 AS BIGINT) AS decode_errors, count(*) FILTER (NOT matched) AS catalog_misses FROM g"""
+SQL["live_admission"] = _AT_ONCE + """, first AS (SELECT coalesce(min(ingress), 9000000000) AS fatal FROM g WHERE ingress % 700 = 650),
+e AS (SELECT ingress AS i, CASE WHEN ingress > fatal THEN 'not_running' WHEN ingress % 700 = 650 THEN 'body_too_large' ELSE 'accepted' END AS r, true AS inside FROM g, first
+  UNION ALL SELECT ingress + 1000000000, CASE WHEN ingress + 1000000000 > fatal THEN 'not_running' ELSE 'header_truncated' END, true FROM g, first WHERE ingress % 10 = 3
+  UNION ALL SELECT ingress + 2000000000, ['null_message', 'header_truncated', 'body_truncated'][ingress % 50 - 6], false FROM g WHERE ingress % 50 IN (7, 8, 9))
+SELECT r AS reported_result, inside AS reaches_engine, count(*) AS frames, min(i) AS first_ingress FROM e GROUP BY r, inside"""
+SQL["channel_capacity"] = _AT_ONCE + """, c AS (SELECT channel, min(ingress) AS ingress_sequence FROM g GROUP BY channel)
+SELECT ingress_sequence, 'channel_capacity' AS fault FROM (SELECT *, row_number() OVER (ORDER BY ingress_sequence, channel) AS turn FROM c) WHERE turn > 3"""
 SQL["machine_conflicts"] = SQL["conflict_faults"].replace("SELECT c.channel, frozen_at, observed_sequence,", "SELECT c.channel, 'canonical_conflict' AS reason, observed_sequence,")
 
 SQL["sz_order_roundtrip"] = f"""WITH l AS ({_LINES}), v AS (SELECT *, cents - 500000 AS price, qty - 3 AS q,
@@ -571,7 +598,7 @@ SELECT channel, seq AS native_sequence, 'S' || l_suppkey AS security_id, CASE t
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        ordered_ticks, channel_gaps, late_recovery, gap_mailbox, gap_metadata_on_next, history_quality, catalog_continuity, order_check, engine_ticks, engine_owner, engine_late, stats_counters, stream_replay, pending_dups, reorder_delay, latency_percentiles, conflict_faults,
+        ordered_ticks, channel_gaps, late_recovery, gap_mailbox, gap_metadata_on_next, history_quality, catalog_continuity, order_check, engine_ticks, engine_owner, engine_late, stats_counters, live_admission, channel_capacity, stream_replay, pending_dups, reorder_delay, latency_percentiles, conflict_faults,
         partial_start, machine_events, machine_patient, machine_conflicts, bounded_recovery, partial_recovery, sh_tick_roundtrip, sz_order_roundtrip, sz_txn_roundtrip, p6_normalize, time_decode, null_sentinels,
         admission_results, book_top10, book_truncated, book_asks, snapshot_headers, queue_validation, catalog_validate, owner_dispatch,
     )
