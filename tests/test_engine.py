@@ -6,6 +6,7 @@ import struct
 
 import frames as f
 import pytest
+from pyspark.sql import functions as F
 
 from tickline.functions.fixed import QUALITY, VALID
 from tickline.operators.admit import admit, route_key
@@ -218,6 +219,16 @@ def test_reported_results(spark):
     assert healthy.first_fault() is None and healthy.reported().count() == 0
 
 
+def test_route_keys_of_snapshots(spark):
+    messages = [f.sh_snapshot(), f.sh_snapshot([(12340, 500, 1)], [500]), f.sh_snapshot(security=b"600001"), f.sz_snapshot(), f.sh_tick(1), ((4, 101, 4), bytes(100))]
+    rows = route_key(admit(f.table(spark, messages))).orderBy("ingress_sequence").collect()
+    keys = [r["route_key"] for r in rows]
+    assert keys[0] == keys[1] and len(set(keys)) == 5 and keys[4] == (4 << 32) + 1 and keys[5] is None
+    by_identity = decode_snapshots(admit(f.table(spark, messages[:4]))).orderBy("ingress_sequence")
+    sh, sz = F.xxhash64("market", F.col("security_id").cast("binary")), F.xxhash64("market", F.col("security_id").cast("binary"), F.col("security_id_source").cast("binary"))
+    assert keys[:4] == [r[0] for r in by_identity.select(F.when(F.col("market") == "SH", sh).otherwise(sz)).collect()]
+
+
 def test_channel_capacity(spark):
     frames = f.table(spark, [f.sh_tick(1), f.sh_tick(1, channel=2), f.sh_tick(2), f.sh_tick(1, channel=3), f.sh_tick(2, channel=3)])
     out = run(frames, f.catalog(spark), EngineConfig(maximum_channels=2))

@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickline.functions.fixed import HEADER_BYTES, KINDS, Kind
-from tickline.functions.unpack import scanned
+from tickline.functions.unpack import ROUTE_TEXTS, scanned
 from tickline.plans.config import EngineConfig
 
 #: What decoding takes over from admission.
 COMMON = ("ingress_sequence", "receive_monotonic_ns", "vendor_sequence", "vendor_local_time_raw", "service_id", "service_version", "message_id", "kind")
 
 
+def _number(at: int, size: int) -> Column:
+    """The unsigned little-endian number at an offset of the body."""
+    return F.conv(F.concat(*(F.hex(F.substring("body", at + i + 1, 1)) for i in reversed(range(size)))), 16, 10).cast("bigint")
+
+
+def _text(at: int) -> Column:
+    """The text whose size and place stand at an offset of the body."""
+    return F.substring(F.col("body"), (_number(at + 2, 4) + at + 1).cast("int"), _number(at, 2).cast("int"))
+
+
 def route_key(admitted: DataFrame) -> DataFrame:
-    """Adds route_key of ticks: service and channel in one number, so that a channel stays on one lane."""
-    return admitted.withColumn("route_key", F.shiftleft(F.col("service_id").cast("bigint"), 32) + F.col("route_channel"))
+    """Adds route_key of accepted frames, null for others: all frames of a channel, and all snapshots of an instrument, have one key.
+
+    Of a tick it is service and channel in one number, of a snapshot a hash of its
+    identity, read from the body without decoding the rest.
+    """
+    tick = F.shiftleft(F.col("service_id").cast("bigint"), 32) + F.col("route_channel")
+    snapshot = F.lit(None).cast("bigint")
+    for kind, texts in ROUTE_TEXTS.items():
+        snapshot = F.when(F.col("kind") == kind.name, F.xxhash64(F.lit(kind.market), *(_text(at) for at in texts))).otherwise(snapshot)
+    return admitted.withColumn("route_key", F.when(F.col("admission_result") == "accepted", F.coalesce(tick, snapshot)))
 
 
 def admit(frames: DataFrame, config: EngineConfig | None = None) -> DataFrame:

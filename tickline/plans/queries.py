@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickline.functions import wire
 from tickline.functions.fixed import KINDS, NULL_I32, NULL_I64, SH_SNAPSHOT, SH_TICK, SZ_ORDER, SZ_SNAPSHOT, SZ_TRANSACTION, Kind
 from tickline.operators import dispatch, recovery
-from tickline.operators.admit import admit
+from tickline.operators.admit import admit, route_key
 from tickline.operators.catalog import match, problems
 from tickline.operators.decode_snapshot import decode_snapshots
 from tickline.operators.decode_tick import decode_ticks
@@ -457,6 +457,14 @@ def _header_sql() -> str:
     return _BOOK + ", h AS (SELECT market, part, count(*) AS n, bool_or(qty < 3) AS bad_quantity, bool_or(cents % 900000 - 1000 <= 0) AS bad_price FROM b GROUP BY market, part) " + of("SH") + " UNION ALL " + of("SZ")
 
 
+def route_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames and different route keys of a family; of ticks also the least and the greatest key, else 0."""
+    frames = [_sh_frames(spark, sf_dir), _sz_order_frames(spark, sf_dir), _book_frames(spark, sf_dir, SH_SNAPSHOT), _book_frames(spark, sf_dir, SZ_SNAPSHOT)]
+    keys = reduce(DataFrame.unionByName, (route_key(admit(x)).groupBy("kind", "route_key").agg(F.count("*").alias("n")) for x in frames))
+    tick = F.when(F.col("kind").isin(SH_TICK.name, SZ_ORDER.name), F.col("route_key")).otherwise(0)
+    return keys.groupBy("kind").agg(F.sum("n").alias("frames"), F.count("route_key").alias("keys"), F.min(tick).alias("least"), F.max(tick).alias("greatest"))
+
+
 # ---- catalog and dispatch
 
 
@@ -555,6 +563,9 @@ SQL["engine_late"] = _AT_ONCE + """SELECT channel, ingress AS ingress_sequence,
 SQL["stats_counters"] = _AT_ONCE + """SELECT count(*) + count(*) FILTER (ingress % 10 = 3) AS callbacks, count(*) AS admitted, count(*) FILTER (ingress % 10 = 3) AS rejected, count(*) AS decoded_ticks, CAST(0 AS BIGINT) AS decoded_snapshots,
   CAST(0 AS BIGINT) AS dispatched_snapshots, count(*) FILTER (NOT late AND matched) AS dispatched_ticks, count(*) FILTER (late) AS duplicates_or_late, count(*) FILTER (late) AS late_recovery_dispatched, count(*) FILTER (is_gap) AS gaps_skipped,
   CAST(0 AS BIGINT) AS from_open_channels_frozen, CAST(0 AS BIGINT) AS channel_faults_dispatched, CAST(0 AS BIGINT) AS decode_errors, count(*) FILTER (NOT matched) AS catalog_misses FROM g"""
+SQL["route_keys"] = f"""WITH l AS ({_LINES}), k AS (SELECT 'shanghai_tick' AS kind, (CAST(4 AS BIGINT) << 32) + channel AS key, true AS tick FROM l UNION ALL SELECT 'shenzhen_order', (CAST(6 AS BIGINT) << 32) + channel - 1, true FROM l
+  UNION ALL SELECT DISTINCT CASE WHEN l_partkey % 2 = 1 THEN 'shanghai_snapshot' ELSE 'shenzhen_snapshot' END, l_partkey, false FROM l)
+SELECT kind, count(*) AS frames, count(DISTINCT key) AS keys, min(CASE WHEN tick THEN key ELSE 0 END) AS least, max(CASE WHEN tick THEN key ELSE 0 END) AS greatest FROM k GROUP BY kind"""
 SQL["live_admission"] = _AT_ONCE + """, first AS (SELECT coalesce(min(ingress), 9000000000) AS fatal FROM g WHERE ingress % 700 = 650),
 e AS (SELECT ingress AS i, CASE WHEN ingress > fatal THEN 'not_running' WHEN ingress % 700 = 650 THEN 'body_too_large' ELSE 'accepted' END AS r, true AS inside FROM g, first
   UNION ALL SELECT ingress + 1000000000, CASE WHEN ingress + 1000000000 > fatal THEN 'not_running' ELSE 'header_truncated' END, true FROM g, first WHERE ingress % 10 = 3
@@ -600,6 +611,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         ordered_ticks, channel_gaps, late_recovery, gap_mailbox, gap_metadata_on_next, history_quality, catalog_continuity, order_check, engine_ticks, engine_owner, engine_late, stats_counters, live_admission, channel_capacity, stream_replay, pending_dups, reorder_delay, latency_percentiles, conflict_faults,
         partial_start, machine_events, machine_patient, machine_conflicts, bounded_recovery, partial_recovery, sh_tick_roundtrip, sz_order_roundtrip, sz_txn_roundtrip, p6_normalize, time_decode, null_sentinels,
-        admission_results, book_top10, book_truncated, book_asks, snapshot_headers, queue_validation, catalog_validate, owner_dispatch,
+        admission_results, route_keys, book_top10, book_truncated, book_asks, snapshot_headers, queue_validation, catalog_validate, owner_dispatch,
     )
 }
