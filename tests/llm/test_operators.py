@@ -325,6 +325,29 @@ def test_statistics():
     assert np.allclose(got, [plain_statistics(t) for t in texts], rtol=1e-12, atol=1e-12)
 
 
+def test_quality_rules_stay_out_of_the_plan(spark, monkeypatch):
+    """Hundreds of rules score as they say, and the driver's plan doesn't grow with them: planning them took the driver's memory."""
+    from tickline.llm import quality
+
+    rng = random.Random(43)
+    rule = lambda: ([(rng.choice(quality.STATS), rng.random() < 0.5, rng.choice([0.0, 0.05, 0.2, 0.5, 1.0, 2.5])) for _ in range(rng.randint(1, 3))], rng.uniform(-0.5, 0.5))
+    plans, texts = [], [*(r[1] for r in corpus()), None, ""]
+    docs = spark.createDataFrame([(i, t, "s", "k", "s", 1) for i, t in enumerate(texts)], DOC).selectExpr("*", "doc_id * 3 as mark").repartition(3)
+    for n in (1, 300):
+        model = quality.Rules(-0.25, [rule() for _ in range(n)])
+        monkeypatch.setattr(quality, "fit", lambda *_, model=model: model)
+        out = quality.score_quality(docs, spark.createDataFrame([(0, 1)], "doc_id bigint, quality int"), key_col="mark")
+        plans.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert len(got) == len(texts)
+        for i, text in enumerate(texts):
+            stats = dict(zip(quality.STATS, plain_statistics(text), strict=True))
+            total = -0.25 + sum(w for tests, w in model.rules if all(stats[s] > at if above else stats[s] <= at for s, above, at in tests))
+            assert got[i]["score"] == pytest.approx(1 / (1 + np.exp(-total))) and got[i]["mark"] == 3 * i
+            assert got[i]["predicted"] == int(got[i]["score"] >= 0.3) and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+    assert plans[1] < 1.1 * plans[0]
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
 def test_quality_of_held_out_labels(spark):
     """On the labels of the fold that the fit never sees: most are predicted, and the scores put them in order."""

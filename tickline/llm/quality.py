@@ -3,14 +3,16 @@
 Statistics of each whole text are counted once. On a bounded sample of labelled
 rows, small gradient-boosted trees are grown; each path from a root to a node is
 a rule, a conjunction of thresholds. A lasso logistic regression weighs the
-rules, most of them with zero, and the rest are compiled into one Spark column
-expression over the statistics.
+rules, most of them with zero, and the rest score the statistics of every row,
+batch by batch. They are no Spark expression: planning and compiling one of some
+200 rules took more of the driver's memory than all else.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -97,14 +99,24 @@ class Rules:
     intercept: float = 0.0
     rules: list[tuple[list[tuple[str, bool, float]], float]] = field(default_factory=list)
 
-    def score(self) -> Column:
-        total = F.lit(self.intercept)
+    def score(self, columns: dict[str, np.ndarray], rows: int) -> np.ndarray:
+        """The score of each of `rows` rows, from the statistics by name."""
+        total = np.full(rows, self.intercept)
         for tests, weight in self.rules:
-            hold = F.lit(True)
+            hold = np.ones(rows, dtype=bool)
             for name, above, at in tests:
-                hold &= (F.col(name) > at) if above else (F.col(name) <= at)
-            total = total + F.when(hold, weight).otherwise(0.0)
-        return 1 / (1 + F.exp(-total))
+                hold &= (columns[name] > at) if above else (columns[name] <= at)
+            total += np.where(hold, weight, 0.0)
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-total))
+
+
+def _score(model: Rules, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, score and what follows the statistics."""
+    for batch in batches:
+        columns = {s: batch.column(1 + i).to_numpy(zero_copy_only=False) for i, s in enumerate(STATS)}
+        rest = len(STATS) + 1
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(columns, batch.num_rows)), *batch.columns[rest:]], names=["id", "score", *batch.schema.names[rest:]])
 
 
 def _grow(binned: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, depth: int, bins: int, least: int) -> list[tuple[list[tuple[int, bool, int]], np.ndarray, float]]:
@@ -197,7 +209,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     key = [F.col(key_col).cast("bigint").alias("key")] if key_col else []
-    stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *key).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}" + ", key bigint" * len(key)))
+    key_ddl = ", key bigint" * len(key)
+    stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *key).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}{key_ddl}"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold("id") != 0))
     # a share of the hash range that holds little more than the sample, so that no task sends the driver rows in vain
     share = min(1.0, 1.2 * fit_rows / max(1, marks.count()))
@@ -206,5 +219,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     sample = stats.join(early, "id").orderBy("turn", "y").limit(fit_rows).select(*STATS, "y")
     rows = sample.toArrow()
     model = fit(np.column_stack([rows[name].to_numpy() for name in STATS]), rows["y"].to_numpy().astype(float), STATS)
-    out = stats.select(F.col("id").alias(id_col), *(F.col("key").alias(key_col) for _ in key), (fold("id") == 0).alias("held_out"), model.score().alias("score"))
+    scored = stats.mapInArrow(partial(_score, model), f"id {id_type}, score double{key_ddl}")
+    out = scored.select(F.col("id").alias(id_col), *(F.col("key").alias(key_col) for _ in key), (fold("id") == 0).alias("held_out"), "score")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
