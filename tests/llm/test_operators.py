@@ -325,6 +325,19 @@ def test_statistics():
     assert np.allclose(got, [plain_statistics(t) for t in texts], rtol=1e-12, atol=1e-12)
 
 
+def test_batches_to_workers_are_small_by_bytes(spark):
+    from tickline.llm.shared import BATCH_BYTES, small_batches
+
+    name, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", lambda batches: (pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]}) for b in batches)
+    frame = lambda: spark.range(0, 2000, 1, 1).selectExpr("id", "repeat(string(id % 10), 10000) as text").mapInArrow(sizes, "rows bigint, bytes bigint")
+    before = spark.conf.get(name)
+    assert max(r["bytes"] for r in frame().collect()) > 2 * BATCH_BYTES
+    with small_batches(spark):
+        got = frame().collect()
+    assert sum(r["rows"] for r in got) == 2000 and max(r["bytes"] for r in got) <= 1.1 * BATCH_BYTES
+    assert spark.conf.get(name) == before
+
+
 def test_quality_rules_stay_out_of_the_plan(spark, monkeypatch):
     """Hundreds of rules score as they say, and the driver's plan doesn't grow with them: planning them took the driver's memory."""
     from tickline.llm import quality

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tickline.llm.components import components
 from tickline.llm.repeats import NO_ID, bucket_count, keyed, partitions
-from tickline.llm.shared import Scratch
+from tickline.llm.shared import Scratch, small_batches
 from tickline.llm.text import U, chunks, gram_hash, mix, owner, prefix_sums, span_hash, word_hash, words
 
 #: Salts of the global orders; order i sorts shingles by mix(shingle ^ salt).
@@ -639,23 +639,28 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = keyed(docs, id_col, text_col).select("key", "doc", "text")
     meet = lambda sent: sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_receive, MET_DDL)
-    met = scratch.store(meet(rows.select("key", "doc", "text").mapInArrow(_send_documents(buckets, size, percent), MEET_DDL)))
+    with small_batches(spark):
+        met = scratch.store(meet(rows.select("key", "doc", "text").mapInArrow(_send_documents(buckets, size, percent), MEET_DDL)))
     every = met.where(F.col("kind") == CLASSES).select("key", "doc", "class", "n")
     classes = every.where("n > 0").groupBy("class").agg(F.min(F.struct("doc", "key")).alias("first"), F.first("n").alias("n")).select("class", "n", F.col("first.doc").alias("doc"), F.col("first.key").alias("key"))
     passing = scratch.store(_passing(met, percent, classes).select("key", "class"))
     marked = rows.select("key", "doc", "text", F.pmod(F.xxhash64("key"), F.lit(MARKS)).alias("bit"))
     near = marked.mapInArrow(_pack_sets(size, _marks(passing)), "key bigint, doc bigint, class bigint, shingles binary, n int")
-    sets = scratch.store(near.join(passing, ["key", "class"], "left_semi").dropDuplicates(["key", "class"]).select("class", "shingles", "n"))
+    with small_batches(spark):
+        sets = scratch.store(near.join(passing, ["key", "class"], "left_semi").dropDuplicates(["key", "class"]).select("class", "shingles", "n"))
     scratch.drop(passing)
     sizes = sets.select("class", "n")
     for salt in ORDERS[1:]:
         sizes = _passing(meet(sets.select("class", "shingles").mapInArrow(_send_sets(buckets, salt, percent), MEET_DDL)), percent, sizes)
-    sketch = spark.sparkContext.broadcast(frequency_sketch(sets))
-    sizes = scratch.store(_passing(meet(sets.select("class", "shingles").mapInArrow(_send_rare(buckets, percent, sketch), MEET_DDL)), percent, sizes))
+    with small_batches(spark):
+        sketch = spark.sparkContext.broadcast(frequency_sketch(sets))
+        sizes = scratch.store(_passing(meet(sets.select("class", "shingles").mapInArrow(_send_rare(buckets, percent, sketch), MEET_DDL)), percent, sizes))
     signed = sets.join(sizes.select("class"), "class", "left_semi").mapInArrow(_sign(percent), "class bigint, shingles binary, n int, signature binary")
-    linkable = scratch.store(signed)
+    with small_batches(spark):
+        linkable = scratch.store(signed)
     scratch.drop(sets, sizes)
-    roots = scratch.store(link_classes(linkable, percent, sketch, scratch))
+    with small_batches(spark):
+        roots = scratch.store(link_classes(linkable, percent, sketch, scratch))
     scratch.drop(linkable)
     named = roots.join(classes.select("class", "doc"), "class").groupBy("root").agg(F.min("doc").alias("component_id"))
     linked = roots.join(named, "root").select("class", "component_id")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.shared import cut
+from tickline.llm.shared import cut, small_batches
 from tickline.llm.text import BYTE_VALUE, chunks, gram_hash, owner, prefix_sums, span_hash, word_hash, words
 
 #: Labelled rows that the fit takes at most: those with the smallest hash of their id.
@@ -210,7 +210,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     id_type = docs.schema[id_col].dataType.simpleString()
     key = [F.col(key_col).cast("bigint").alias("key")] if key_col else []
     key_ddl = ", key bigint" * len(key)
-    stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *key).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}{key_ddl}"))
+    with small_batches(docs.sparkSession):
+        stats = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *key).mapInArrow(_measure, f"id {id_type}, {STATS_DDL}{key_ddl}"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold("id") != 0))
     # a share of the hash range that holds little more than the sample, so that no task sends the driver rows in vain
     share = min(1.0, 1.2 * fit_rows / max(1, marks.count()))
