@@ -225,6 +225,48 @@ def test_signatures_lose_no_link():
     assert linked and linked <= pairs
 
 
+def test_bucket_rows_are_thin(spark, monkeypatch):
+    """A class has a bucket row for each shingle of its prefix, so a row's bytes decide the join's disk."""
+    from tickline.llm import jaccard_join
+
+    pairs = jaccard_join._pairs
+
+    def thin_pairs(hi, percent):
+        run = pairs(hi, percent)
+
+        def thin(batches):
+            for batch in batches:
+                if batch.nbytes > 192 * batch.num_rows:
+                    raise ValueError(f"{batch.nbytes} bytes of {batch.num_rows} bucket rows")
+                yield batch
+
+        return lambda batches: run(thin(batches))
+
+    monkeypatch.setattr(jaccard_join, "_pairs", thin_pairs)
+    rows = crowded()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, DOC).repartition(3)).collect()}
+    assert got == brute_jaccard(rows, 4, 85)
+
+
+def test_prefixes_of_linked_sets_meet():
+    from tickline.llm.jaccard_join import prefixes_meet, signatures
+
+    rng = np.random.default_rng(4)
+    universe = rng.integers(0, 2**63, 500).astype(np.uint64)
+    sets = [np.sort(rng.choice(universe[:k], size=int(k * f), replace=False)) for k in (12, 40, 200, 500) for f in (0.85, 0.95) for _ in range(12)]
+    edge = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    raw = signatures(np.concatenate(sets), np.repeat(np.arange(len(sets)), np.diff(edge)), edge, 85).view(np.uint64)
+    x, y = (i.ravel() for i in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(x, y, strict=True)])
+    size = np.diff(edge)
+    linked = 100 * both >= 85 * (size[x] + size[y] - both)
+    meet = prefixes_meet(raw[x], raw[y])
+    assert (linked & (x != y)).any() and meet[linked].all()
+    # short sets that share nothing seldom pass
+    apart = signatures(rng.integers(0, 2**63, 400).astype(np.uint64), np.repeat(np.arange(20), 20), np.arange(0, 401, 20), 85).view(np.uint64)
+    assert prefixes_meet(apart[:10], apart[10:]).sum() <= 1
+
+
 def test_components(spark):
     from tickline.llm.components import components
 

@@ -12,9 +12,12 @@ frequent passages in common meet in no prefix. Only then are pairs formed, from
 classes that share a shingle of the shortest sufficient prefix under that order.
 
 A bucket's row carries what rules a pair out before it leaves the bucket: the
-set's size, the shingle's place in the order, bitmaps of the prefixes under the
-other orders, which must intersect, and a parity bitmap that bounds from below in
-how many shingles two sets differ. Only pairs that pass meet as whole sets.
+set's size, the shingle's place in the order, and a parity bitmap that bounds from
+below in how many shingles two sets differ. A class has a row for each shingle of
+its prefix, so what each row carries is what the join costs in disk. The bitmaps
+of the prefixes under the other orders, which must intersect, thus stay with the
+class and meet only the pairs that left a bucket. Only pairs that pass these, too,
+meet as whole sets.
 
 Pairs are formed in rounds. In a round, the first members of each bucket that
 have not been centres yet are compared with the bucket's other members, except
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tickline.llm.components import components
 from tickline.llm.repeats import NO_ID, bucket_count, keyed, partitions
-from tickline.llm.shared import Scratch, small_batches
+from tickline.llm.shared import Scratch, small_batches, sweep
 from tickline.llm.text import U, chunks, gram_hash, mix, owner, prefix_sums, span_hash, word_hash, words
 
 #: Salts of the global orders; order i sorts shingles by mix(shingle ^ salt).
@@ -444,10 +447,10 @@ class _Bucket:
         self.firsts, at = np.full((len(order), FIRSTS), NONE), owner(np.concatenate([[0], np.cumsum(size)]))
         self.firsts[at, np.arange(len(at)) - (np.cumsum(size) - size)[at]] = firsts.flatten().to_numpy()
         self.firsts = self.firsts[order]
-        self.signature = _sets(pa.concat_arrays(table.column("signature").chunks))[0].reshape(len(order), -1)[order]
+        self.parity = _sets(pa.concat_arrays(table.column("signature").chunks))[0].reshape(len(order), -1)[order, : BITS // 64]
 
     def may_link(self, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-        """Of the pairs of rows, those that no test can rule out and no other bucket has.
+        """Of the pairs of rows, those that no test of their rows can rule out and no other bucket has.
 
         Where two sets have some of their first shingles in common, only the
         bucket of the least of these sends the pair.
@@ -460,14 +463,10 @@ class _Bucket:
         i, j = self.place[x].astype(np.int64), self.place[y].astype(np.int64)
         ok = np.minimum(i, j) + 1 + np.minimum(self.n[x] - i, self.n[y] - j) - 1 >= need
         x, y, at, need = x[ok], y[ok], at[ok], need[ok]
-        words = BITS // 64
         keep = []
         for lo in range(0, len(x), 16384):
-            a, b = self.signature[x[lo : lo + 16384]], self.signature[y[lo : lo + 16384]]
-            apart = np.bitwise_count(a[:, :words] ^ b[:, :words]).sum(axis=1, dtype=np.int64)
+            apart = np.bitwise_count(self.parity[x[lo : lo + 16384]] ^ self.parity[y[lo : lo + 16384]]).sum(axis=1, dtype=np.int64)
             ok = (self.n[x[lo : lo + 16384]] + self.n[y[lo : lo + 16384]] - apart) // 2 >= need[lo : lo + 16384]
-            for k in range(1, 1 + len(ORDERS)):
-                ok &= (a[:, k * words : (k + 1) * words] & b[:, k * words : (k + 1) * words]).any(axis=1)
             a, b = self.firsts[x[lo : lo + 16384]][:, :, None], self.firsts[y[lo : lo + 16384]][:, None, :]
             least = np.where(((a == b) & (a != NONE)).any(axis=2), a[:, :, 0], OVER).min(axis=1)
             keep.append(ok & ((least == OVER) | (least == self.token[x[lo : lo + 16384]])))
@@ -535,6 +534,21 @@ def _pairs(hi: int, percent: int):  # noqa: ANN202
     return pairs
 
 
+def prefixes_meet(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the prefix bitmaps of two signatures, row by row, intersect under every order by hash."""
+    both = (x & y).reshape(len(x), -1, BITS // 64)[:, 1:]
+    return both.any(axis=2).all(axis=1)
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, and their signatures) whose prefixes meet under every order by hash."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (_sets(batch.column(i))[0].reshape(batch.num_rows, -1) for i in (2, 3))
+            keep = pa.array(prefixes_meet(x, y))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+
 def _verify(percent: int):  # noqa: ANN202
     def linked(x: np.ndarray, y: np.ndarray) -> bool:
         both = len(np.intersect1d(x, y, assume_unique=True))
@@ -578,21 +592,26 @@ def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scra
     rank = F.floor((F.col("class") / F.lit(2.0**64) + 0.5) * F.col("m"))
     members = scratch.store(rows.join(crowds, "token").select("token", "class", "place", "m", F.least(rank, F.col("m") - 1).alias("rank")))
     scratch.drop(rows)
+    sweep(spark)
     # the first few shingles that a class shares with any other: see _Bucket.may_link
     firsts = members.groupBy("class").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRSTS).alias("firsts"))
     info = scratch.store(sets.select("class", "n", "signature").join(firsts, "class"))
+    light = info.withColumn("signature", F.substring("signature", 1, BITS // 8))
     top = members.agg(F.max("m")).first()[0] or 0
     links, roots = None, None
     lo, hi = 0, 1
     while lo < top:
-        still = members.where(F.col("rank") >= lo).join(info, "class")
+        still = members.where(F.col("rank") >= lo).join(light, "class")
         still = still.withColumn("root", F.col("class")) if roots is None else still.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
         blocks = F.ceil(F.col("m") / F.lit(ROWS))
         own = F.pmod(F.xxhash64("class"), blocks)
         every = F.when((F.col("rank") < hi) & (blocks > 1), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array(own))
         dealt = still.withColumn("own", own).withColumn("block", F.explode(every)).withColumn("home", F.col("own") == F.col("block"))
         dealt = dealt.select("token", "block", "rank", "class", "n", "place", "root", "home", "signature", "firsts").repartition(parts, "token", "block").sortWithinPartitions("token", "block")
-        pairs = scratch.store(dealt.mapInArrow(_pairs(hi, percent), PAIR_DDL).distinct())
+        pairs = dealt.mapInArrow(_pairs(hi, percent), PAIR_DDL).distinct()
+        for end, name in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(info.select(F.col("class").alias(end), F.col("signature").alias(name)), end)
+        pairs = scratch.store(pairs.select("a", "b", "x", "y").mapInArrow(_meet, PAIR_DDL))
         # only sets of some pair leave their place: the others are kept back by a bitmap of fixed size
         needed = _marks(pairs.select(F.explode(F.array("a", "b")).alias("key")))
         shingles = sets.select("class", "shingles", F.pmod(F.xxhash64("class"), F.lit(MARKS)).alias("bit")).mapInArrow(_marked(needed), "class bigint, shingles binary")
@@ -603,6 +622,7 @@ def link_classes(sets: DataFrame, percent: int, sketch: Broadcast, scratch: Scra
         scratch.drop(pairs, before)
         before, roots = roots, scratch.store(_near_roots(links)) if hi < top else None
         scratch.drop(before)
+        sweep(spark)
         lo, hi = hi, hi * 8
     scratch.drop(members, info)
     if links is None:
@@ -641,6 +661,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     meet = lambda sent: sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_receive, MET_DDL)
     with small_batches(spark):
         met = scratch.store(meet(rows.select("key", "doc", "text").mapInArrow(_send_documents(buckets, size, percent), MEET_DDL)))
+    sweep(spark)
     every = met.where(F.col("kind") == CLASSES).select("key", "doc", "class", "n")
     classes = every.where("n > 0").groupBy("class").agg(F.min(F.struct("doc", "key")).alias("first"), F.first("n").alias("n")).select("class", "n", F.col("first.doc").alias("doc"), F.col("first.key").alias("key"))
     passing = scratch.store(_passing(met, percent, classes).select("key", "class"))
@@ -649,12 +670,14 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     with small_batches(spark):
         sets = scratch.store(near.join(passing, ["key", "class"], "left_semi").dropDuplicates(["key", "class"]).select("class", "shingles", "n"))
     scratch.drop(passing)
+    sweep(spark)
     sizes = sets.select("class", "n")
     for salt in ORDERS[1:]:
         sizes = _passing(meet(sets.select("class", "shingles").mapInArrow(_send_sets(buckets, salt, percent), MEET_DDL)), percent, sizes)
     with small_batches(spark):
         sketch = spark.sparkContext.broadcast(frequency_sketch(sets))
         sizes = scratch.store(_passing(meet(sets.select("class", "shingles").mapInArrow(_send_rare(buckets, percent, sketch), MEET_DDL)), percent, sizes))
+    sweep(spark)
     signed = sets.join(sizes.select("class"), "class", "left_semi").mapInArrow(_sign(percent), "class bigint, shingles binary, n int, signature binary")
     with small_batches(spark):
         linkable = scratch.store(signed)

@@ -58,6 +58,11 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Shuffle files of finished plans go: Spark deletes them once the driver has collected its garbage, which a large heap puts off."""
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Tables of one run in the shared folder, each of which goes once nothing reads it any more."""
 
